@@ -7,12 +7,11 @@ changes a result.
 from __future__ import annotations
 
 import datetime
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sheetloom.functions.numbers import WHOLE_NUMBER, safe_double
-from sheetloom.functions.text import WHITESPACE, WHITESPACE_RUN, strip
+from sheetloom.functions.text import WHITESPACE, WHITESPACE_RUN, let, strip
 
 # The magnitude of a number tells its unit.
 NANOSECONDS_FROM = 1e17
@@ -21,6 +20,8 @@ MILLISECONDS_FROM = 1e11
 SECONDS_FROM = 1e8
 # Fixed value: spreadsheet day 0 is 1899-12-30, this many days before 1970-01-01.
 SERIAL_EPOCH_DAYS = 25569
+# Whole numbers below this are exact in a double.
+EXACT_IN_DOUBLE = 2.0**53
 # Fixed value: range of a 64-bit nanosecond clock, in microseconds.
 CLOCK_LIMIT = 9223372036854775
 FIRST_INSTANT = "timestamp_ntz'1677-09-21 00:12:43.145225'"
@@ -57,42 +58,37 @@ def _micros_to_timestamp(micros: Column) -> Column:
     return F.timestamp_add("MICROSECOND", in_range, F.expr("timestamp_ntz'1970-01-01 00:00:00'"))
 
 
-def _whole_number(text: Column) -> Column:
-    return F.when(text.rlike(WHOLE_NUMBER), strip(text).try_cast("decimal(30,0)"))
+def _whole_part(text: Column, value: Column) -> Column:
+    """The number without its fraction, exact even where a double is not."""
+    exact = F.when(text.rlike(WHOLE_NUMBER), F.trim(text).try_cast("bigint"))
+    return F.coalesce(exact, value.try_cast("bigint"))
 
 
-def _numeric_micros(value: Column, whole: Column) -> Column:
-    """Microseconds since 1970 of a number, its unit told by its magnitude.
+def _fraction(value: Column, base: Column) -> Column:
+    return F.when(F.abs(value) < EXACT_IN_DOUBLE, value - base).otherwise(0.0)
 
-    ``whole`` is the exact value where the text has no fraction, else NULL.
-    """
-    size = F.abs(value)
-    base = F.coalesce(whole.try_cast("bigint"), value.try_cast("bigint"))
-    fraction = F.when(whole.isNull(), value - base).otherwise(0.0)
+
+def _numeric_micros(size: Column, base: Column, fraction: Column) -> Column:
+    """Microseconds since 1970 of a number of magnitude ``size``, which tells its unit."""
 
     def scaled(per_unit: int, digits: int) -> Column:
         nanos = F.rint(fraction * (10.0**digits))
         return base * per_unit + F.floor(nanos / 1000)
 
-    day = base - SERIAL_EPOCH_DAYS
     # part of a day, cut to the nanosecond and rounded half-even to the second
-    nanos_of_day = F.floor(F.abs(fraction) * 86400e9) * F.signum(fraction)
-    seconds = day * 86400 + F.rint(nanos_of_day / 1e9).try_cast("bigint")
-    nanoseconds = F.coalesce(whole, value.try_cast("decimal(30,0)"))
+    second_of_day = F.rint(F.floor(F.abs(fraction) * 86400e9) / 1e9) * F.signum(fraction)
+    serial = (base - SERIAL_EPOCH_DAYS) * 86400 + second_of_day.cast("bigint")
+    # division cuts towards zero, the clock towards the past
+    before_1970 = F.when((base < 0) & (base % 1000 != 0), 1).otherwise(0)
     return (
-        F.when(size < SECONDS_FROM, seconds * 1_000_000)
+        F.when(size < SECONDS_FROM, serial * 1_000_000)
         .when(size < MILLISECONDS_FROM, scaled(1_000_000, 9))
         .when(size < MICROSECONDS_FROM, scaled(1_000, 6))
         .when(size < NANOSECONDS_FROM, scaled(1, 3))
-        .otherwise(F.floor(nanoseconds / 1000).try_cast("bigint"))
+        .otherwise(F.call_function("div", base, F.lit(1000)) - before_1970)
     )
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _text_timestamp(source: Column, pivot: int) -> Column:
     """A date text, day first, in any of the usual spellings; NULL if it is none."""
     lead = "^([0-9]{4}[^0-9a-z][0-9]{1,2}[^0-9a-z][0-9]{1,2}|[0-9]{8})[t ]"
@@ -104,9 +100,9 @@ def _text_timestamp(source: Column, pivot: int) -> Column:
     text = F.regexp_replace(text, "(?<=[0-9])t(?=[0-9])", " ")
 
     def parse(t: Column) -> Column:
-        return _let(_tokens(t), lambda p: _let(_date_parts(p, source, pivot), lambda d: _join_clock(d, t)))
+        return let(_tokens(t), lambda p: let(_date_parts(p, source, pivot), lambda d: _join_clock(d, t)))
 
-    return F.when(source.rlike("[0-9]"), _let(text, parse))
+    return F.when(source.rlike("[0-9]"), let(text, parse))
 
 
 def _tokens(text: Column) -> Column:
@@ -215,24 +211,34 @@ def normalize_datetime(c: Column, pivot_year: int | None = None) -> Column:
     day. Unreadable values are NULL. A zone is dropped and the wall clock kept. A two-digit year
     falls within the century below ``pivot_year`` (default: 50 years from now).
     """
-    number = F.struct(safe_double(c).alias("value"), _whole_number(c).alias("whole"))
-    micros = _let(number, lambda n: F.when(n["value"].isNotNull(), _numeric_micros(n["value"], n["whole"])))
-    stamp = _micros_to_timestamp(micros)
-    return F.coalesce(stamp, F.when(safe_double(c).isNull(), _text_timestamp(c, _pivot(pivot_year))))
+
+    def stamp(value: Column) -> Column:
+        micros = let(
+            _whole_part(c, value),
+            lambda base: let(_fraction(value, base), lambda part: _numeric_micros(F.abs(value), base, part)),
+        )
+        return _micros_to_timestamp(micros)
+
+    number = safe_double(c)
+    from_text = F.when(number.isNull(), _text_timestamp(c, _pivot(pivot_year)))
+    return F.coalesce(let(number, stamp), from_text)
 
 
 def with_datetime(df: DataFrame, column: str, pivot_year: int | None = None) -> DataFrame:
     """:func:`normalize_datetime` of a column in place, for whole tables.
 
-    The steps are columns of their own, so the number is parsed once, and the number arithmetic
-    compiles with the rest of the stage. Only rows that are not numbers reach the text rules.
+    The steps are columns of their own, so each is computed once and compiles to little code with
+    the rest of the stage. Only rows that are not numbers reach the text rules.
     """
-    value, whole, stamp = (f"__{column}_{part}" for part in ("value", "whole", "stamp"))
+    value, base, part, stamp = (f"__{column}_{step}" for step in ("value", "base", "part", "stamp"))
     text = F.col(column)
-    numbers = df.withColumns({value: safe_double(text), whole: _whole_number(text)})
-    stamps = numbers.withColumn(stamp, _micros_to_timestamp(_numeric_micros(F.col(value), F.col(whole))))
+    df = df.withColumn(value, safe_double(text))
+    df = df.withColumn(base, _whole_part(text, F.col(value)))
+    df = df.withColumn(part, _fraction(F.col(value), F.col(base)))
+    micros = _numeric_micros(F.abs(value), F.col(base), F.col(part))
+    df = df.withColumn(stamp, _micros_to_timestamp(micros))
     from_text = F.when(F.col(value).isNull(), _text_timestamp(text, _pivot(pivot_year)))
-    return stamps.withColumn(column, F.coalesce(stamp, from_text)).drop(value, whole, stamp)
+    return df.withColumn(column, F.coalesce(stamp, from_text)).drop(value, base, part, stamp)
 
 
 def datetime_text(c: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from sheetloom.functions.text import header_key, strip
+from sheetloom.functions.text import header_key, let, strip
 
 
 def normalize_headers(headers: Column) -> Column:
@@ -39,7 +39,10 @@ def canonical_header(text: Column) -> Column:
 
     Fixed rules, first match wins.
     """
-    key = header_key(text)
+    return let(header_key(text), _canonical_of_key)
+
+
+def _canonical_of_key(key: Column) -> Column:
     words = F.concat(F.lit(" "), key, F.lit(" "))
 
     def word(*any_of: str) -> Column:

@@ -46,5 +46,7 @@ def row_hash(spec: DatasetSpec) -> Column:
         return c if kind == "string" else c.cast("string")
 
     hashed = sorted(c for c in spec.columns if c not in IDENTITY_COLUMNS)
-    pairs = [F.concat(F.lit(f"{c}="), F.coalesce(text(c), F.lit(""))) for c in hashed]
-    return F.sha2(F.concat_ws("|", *pairs), 256)
+    parts = []
+    for separator, c in zip([""] + ["|"] * len(hashed), hashed):
+        parts += [F.lit(f"{separator}{c}="), F.coalesce(text(c), F.lit(""))]
+    return F.sha2(F.concat(*parts), 256)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 # The characters that count as white space.
@@ -10,7 +12,8 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-WHITESPACE_RUN = "[" + WHITESPACE + "]+"
+# The same characters as a pattern.
+WHITESPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 
 # Tick words.
 TRUE_WORDS = ("true", "yes", "y", "1", "✓", "✔", "☑")
@@ -26,6 +29,11 @@ def strip(c: Column) -> Column:
     return F.trim(c, F.lit(WHITESPACE))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once per row, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def blank_to_null(c: Column) -> Column:
     """NULL for a white-space-only value; any other value is kept unchanged."""
     return F.when(strip(c) != "", c)

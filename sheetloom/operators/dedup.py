@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, Window as W
+from pyspark.sql import DataFrame, functions as F
 
 from sheetloom.operators.lookup import DEFAULT_LIMITS, LookupLimits, fits_broadcast
 from sheetloom.spec import ORDER_COLUMNS
@@ -25,12 +25,13 @@ def dedup_keep_last(
 ) -> DataFrame:
     """One row per key: the last in ``order`` (order columns ``df`` lacks are skipped).
 
-    The filter on ``row_number`` makes Spark put a group limit of one row below the shuffle, so a
-    key shared by a large part of the data sends at most one row per input task.
+    An aggregate, so rows are combined before the shuffle: a key shared by a large part of the
+    data sends one row per input task.
     """
-    present = [F.col(c).desc() for c in order if c in df.columns]
-    newest = W.partitionBy(key).orderBy(*present)
-    return df.withColumn("__rank", F.row_number().over(newest)).where("__rank = 1").drop("__rank")
+    position = F.struct(*(c for c in order if c in df.columns))
+    rest = F.struct(*(c for c in df.columns if c != key))
+    newest = df.groupBy(key).agg(F.max_by(rest, position).alias("__row"))
+    return newest.select(*(F.col(key) if c == key else F.col("__row")[c].alias(c) for c in df.columns))
 
 
 def merge_upsert(

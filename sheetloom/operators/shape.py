@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sheetloom.functions.datetimes import datetime_text, with_datetime
 from sheetloom.functions.numbers import safe_double, safe_integer
-from sheetloom.functions.text import blank_to_null, strip
+from sheetloom.functions.text import blank_to_null, strip, strip_to_null
 from sheetloom.spec import DatasetSpec
 
 
@@ -51,9 +51,14 @@ def blanks_to_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def drop_blank_rows(df: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """Drop rows whose declared business columns are all NULL."""
-    present = [c for c in spec.business_columns if c in df.columns]
-    return df.where(F.coalesce(*present).isNotNull())
+    """Drop rows whose declared business columns are all NULL or white space.
+
+    Nearly every row is kept for its first column; the others are only looked at, in one go, where
+    that one is blank.
+    """
+    first, *others = [F.col(c) for c in spec.business_columns if c in df.columns]
+    rest = strip(F.concat_ws("", *(c.cast("string") for c in others)))
+    return df.where(F.coalesce(strip_to_null(first), F.nullif(rest, F.lit(""))).isNotNull())
 
 
 def add_missing_columns(df: DataFrame, spec: DatasetSpec) -> DataFrame:
@@ -65,13 +70,17 @@ def trim_strings(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: strip(F.col(c)) for c in columns})
 
 
-def decode_types(df: DataFrame, spec: DatasetSpec, pivot_year: int | None = None) -> DataFrame:
-    """Decode dates, whole numbers and doubles."""
+def decode_dates(df: DataFrame, spec: DatasetSpec, pivot_year: int | None = None) -> DataFrame:
+    """Date text columns become zone-less timestamps."""
     for c in spec.of_kind("datetime"):
         df = with_datetime(df, c, pivot_year)
-    numbers = {c: safe_integer(F.col(c)) for c in spec.of_kind("integer")}
-    numbers |= {c: safe_double(F.col(c)) for c in spec.of_kind("double")}
-    return df.withColumns(numbers) if numbers else df
+    return df
+
+
+def number_columns(spec: DatasetSpec) -> dict[str, Column]:
+    """Expressions for the whole-number and double columns."""
+    whole = {c: safe_integer(F.col(c)) for c in spec.of_kind("integer")}
+    return whole | {c: safe_double(F.col(c)) for c in spec.of_kind("double")}
 
 
 def conform_schema(df: DataFrame, spec: DatasetSpec) -> DataFrame:

@@ -7,15 +7,16 @@ import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sheetloom.functions.identity import record_id, row_hash
-from sheetloom.functions.text import blank_to_null, strip, strip_to_null
+from sheetloom.functions.text import strip, strip_to_null
 from sheetloom.operators.dedup import dedup_keep_last, merge_upsert
 from sheetloom.operators.incremental import checkpoint, combine_checkpoints, incremental_filter
 from sheetloom.operators.lookup import DEFAULT_LIMITS, LookupLimits, lookup_join
 from sheetloom.operators.shape import (
     blanks_to_null,
     conform_schema,
-    decode_types,
+    decode_dates,
     drop_blank_rows,
+    number_columns,
     project_declared,
 )
 from sheetloom.operators.tabs import KEYS, filter_tabs, header_positions, tab_headers
@@ -73,13 +74,12 @@ def clean(
     declared: DataFrame, spec: DatasetSpec, ingested_at: datetime.datetime | str | None = None
 ) -> DataFrame:
     """:func:`prepare` without its first and last step: no shuffle. Order columns are kept."""
-    texts = spec.of_kind("text")
-    df = declared.withColumns(
-        {c: strip_to_null(F.col(c)) for c in texts}
-        | {c: blank_to_null(F.col(c)) for c in spec.business_columns if c not in texts}
+    df = decode_dates(drop_blank_rows(declared, spec), spec)
+    df = df.withColumns(
+        number_columns(spec)
+        | {c: strip_to_null(F.col(c)) for c in spec.of_kind("text")}
         | {c: strip(F.col(c)) for c in LINEAGE_COLUMNS if c != "source_row"}
     )
-    df = decode_types(drop_blank_rows(df, spec), spec)
     df = identify(df, spec, ingested_at)
     return df.select(*spec.columns, *(c for c in ORDER_COLUMNS if c not in spec.columns))
 

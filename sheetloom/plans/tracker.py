@@ -100,17 +100,25 @@ def extra_columns(parsed: DataFrame) -> list[str]:
     return [r["name"] for r in first.orderBy("first").select("name").collect()]
 
 
-def infer_bool_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
-    """The text columns that hold tick words only, and at least one. One aggregate."""
-    if not columns:
-        return []
+def bool_column_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Per text column: does it hold tick words only, and at least one? One aggregate."""
     filled = [F.trim(F.col(f"`{c}`")) != "" for c in columns]
     ticks = [F.lower(F.trim(F.col(f"`{c}`"))).isin(*TICK_WORDS) for c in columns]
     found = df.agg(
-        *(F.bool_and(~f | t).alias(f"all_{i}") for i, (f, t) in enumerate(zip(filled, ticks))),
-        *(F.bool_or(f).alias(f"any_{i}") for i, f in enumerate(filled)),
-    ).first()
-    return [c for i, c in enumerate(columns) if found[f"all_{i}"] and found[f"any_{i}"]]
+        *(
+            (F.coalesce(F.bool_and(~f | t), F.lit(False)) & F.coalesce(F.bool_or(f), F.lit(False))).alias(f"c{i}")
+            for i, (f, t) in enumerate(zip(filled, ticks))
+        )
+    )
+    pairs = F.array(*(F.struct(F.lit(c).alias("name"), F.col(f"c{i}").alias("is_bool")) for i, c in enumerate(columns)))
+    return found.select(F.inline(pairs))
+
+
+def infer_bool_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """The text columns of :func:`bool_column_report` that are booleans."""
+    if not columns:
+        return []
+    return [r["name"] for r in bool_column_report(df, columns).where("is_bool").collect()]
 
 
 def clean_clients(parsed: DataFrame) -> DataFrame:
@@ -128,6 +136,18 @@ def clean_clients(parsed: DataFrame) -> DataFrame:
     )
 
 
+def text_columns(extras: Sequence[str]) -> list[str]:
+    """The columns that may turn out to be tick columns."""
+    return [c for c in CORE_COLUMNS if c not in ACCESS_COLUMNS and c != "is_active"] + list(extras)
+
+
+def text_clients(parsed: DataFrame, extras: Sequence[str]) -> DataFrame:
+    """Clean clients with the other headers as text columns of their own."""
+    clients = clean_clients(parsed)
+    named = {c: F.coalesce(F.element_at("extras", F.lit(c)), F.lit("")) for c in extras}
+    return clients.withColumns(named) if named else clients
+
+
 def build_clients(parsed: DataFrame) -> DataFrame:
     """The client table: core columns, other columns, lineage.
 
@@ -135,11 +155,8 @@ def build_clients(parsed: DataFrame) -> DataFrame:
     which columns hold tick words only. ``parsed`` should be staged, or cheap to run again.
     """
     extras = extra_columns(parsed)
-    clients = clean_clients(parsed)
-    named = {c: F.coalesce(F.element_at("extras", F.lit(c)), F.lit("")) for c in extras}
-    clients = clients.withColumns(named) if named else clients
-    texts = [c for c in CORE_COLUMNS if c not in ACCESS_COLUMNS and c != "is_active"] + extras
-    ticks = infer_bool_columns(clients, texts)
+    clients = text_clients(parsed, extras)
+    ticks = infer_bool_columns(clients, text_columns(extras))
     clients = clients.withColumns({c: to_bool(F.col(f"`{c}`")) for c in ticks}) if ticks else clients
     return clients.select(*(F.col(f"`{c}`") for c in (*CORE_COLUMNS, *extras, *META_COLUMNS)))
 

@@ -46,7 +46,7 @@ LEADS_RAW = (
     "SELECT k % 3 AS w, k % 4 AS t, CAST((k - k % 12) / 12 AS BIGINT) + 2 AS source_row, {arr}("
     + _PERSON + ", CASE k % 5 WHEN 0 THEN '30' WHEN 1 THEN '30.5' WHEN 2 THEN '' WHEN 3 THEN 'abc' ELSE '41.0' END,"
     + _DATE + ", CASE WHEN k % 6 = 0 THEN '1,000' WHEN k % 6 = 1 THEN ' 499 ' WHEN k % 6 = 2 THEN ''"
-    " ELSE CAST(CAST(p AS BIGINT) AS STRING) END,"
+    " ELSE CAST(CAST(floor(p) AS BIGINT) AS STRING) END,"
     " concat('src', CAST(k % 3 AS STRING)), 'dropped tag') AS cells FROM b"
     " UNION ALL SELECT r % 3, r % 4, CAST(1 AS BIGINT), {arr}('Name', 'Email Address', 'Mobile', 'City', 'Age',"
     " 'Registration Date', 'Amount', 'UTM Source', 'Tag') FROM s) "
@@ -105,25 +105,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spark_sql(spark: SparkSession, sf_dir: str, text: str, *tables: str) -> DataFrame:
-    """Run a SQL text over test tables.
+    """Run a SQL text over test tables; the first one is the largest.
 
-    A table that comes in fewer splits than there are cores is spread first, so that one small
+    If that one comes in fewer splits than there are cores it is spread first, so that one small
     file does not bind all later row work to one task. Real inputs have more splits than cores.
     """
     cores = spark.sparkContext.defaultParallelism
     for name in tables:
         rows = table(spark, sf_dir, name)
-        if name == "orders" and rows.rdd.getNumPartitions() < cores:
-            rows = rows.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate").repartition(
-                cores, "o_orderkey"
-            )
+        if name == tables[0] and rows.rdd.getNumPartitions() < cores:
+            rows = rows.repartition(cores, rows.columns[0])
         rows.createOrReplaceTempView(name)
     return spark.sql(text)
 
 
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """``leads_raw``, ``buyers_raw`` or ``tracker_raw``."""
-    return spark_sql(spark, sf_dir, TEXTS[name].format(**SPARK), "orders", "customer", "nation")
+    tables = ("customer",) if name == "tracker_raw" else ("orders", "customer", "nation")
+    return spark_sql(spark, sf_dir, TEXTS[name].format(**SPARK), *tables)
 
 
 def duckdb_cte(name: str) -> str:
