@@ -26,15 +26,15 @@ class LookupLimits:
 DEFAULT_LIMITS = LookupLimits()
 
 
-def _measure(df: DataFrame, *extra: Column):
-    width = F.length(F.to_json(F.struct(*df.columns)))
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes"), *extra).first()
+def _width(df: DataFrame) -> Column:
+    """Rough size of a row."""
+    return F.length(F.to_json(F.struct(*df.columns)))
 
 
 def fits_broadcast(df: DataFrame, limits: LookupLimits = DEFAULT_LIMITS) -> bool:
     """Measure ``df`` (one aggregate) against the broadcast bound."""
-    size = _measure(df)
-    return size["rows"] <= limits.rows and size["bytes"] <= limits.bytes
+    size = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(_width(df)).alias("bytes")).first()
+    return size["rows"] <= limits.rows and (size["bytes"] or 0) <= limits.bytes
 
 
 def lookup_join(
@@ -66,7 +66,8 @@ def asof_lookup(
 ) -> DataFrame:
     """Attach to each row the latest mark of its group at or above its position.
 
-    ``marks`` has ``keys``, ``position`` and value columns, at most one mark per position. The
+    ``marks`` has ``keys``, ``position`` and value columns, at most one mark per position; it is
+    read twice and should be staged. The
     result has every column of ``rows``, the value columns (NULL above the first mark) and
     ``mark_position``.
 
@@ -75,12 +76,13 @@ def asof_lookup(
     last marks, smaller by the block size, carries values across blocks.
     """
     values = [c for c in marks.columns if c not in keys and c != position]
-    size = _measure(
-        marks.select(*keys, position, *values),
-        F.max(F.col(position)).alias("ignored"),
-    )
-    densest = marks.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if size["rows"] <= limits.rows and size["bytes"] <= limits.bytes and densest <= limits.marks_per_group:
+    per_group = marks.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(_width(marks)).alias("w"))
+    size = per_group.agg(F.sum("n").alias("rows"), F.sum("w").alias("bytes"), F.max("n").alias("densest")).first()
+    if (
+        (size["rows"] or 0) <= limits.rows
+        and (size["bytes"] or 0) <= limits.bytes
+        and (size["densest"] or 0) <= limits.marks_per_group
+    ):
         following = F.lead(position).over(W.partitionBy(*keys).orderBy(position))
         spans = marks.select(
             *(F.col(k).alias(f"__{k}") for k in keys),

@@ -18,6 +18,8 @@ def get_spark(app_name: str = "sheetloom", master: str | None = None, **conf: st
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # call sites of single expressions are not worth their cost in plans this wide
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
