@@ -7,7 +7,9 @@ changes a result.
 from __future__ import annotations
 
 import datetime
+import functools
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sheetloom.functions.numbers import WHOLE_NUMBER, safe_double
@@ -178,23 +180,22 @@ def _join_clock(date: Column, text: Column) -> Column:
     """Date parts and the clock in ``text`` -> timestamp; NULL if either is impossible."""
 
     def clock(pattern: str, group: int) -> Column:
-        return F.regexp_extract(text, pattern, group)
-
-    half = F.coalesce(F.nullif(clock(CLOCK, 5), F.lit("")), clock(HOUR_ONLY, 2))
-    hour = F.coalesce(F.nullif(clock(CLOCK, 1), F.lit("")), clock(HOUR_ONLY, 1)).try_cast("int")
-    hour_of_day = (
-        F.when(half == "", F.coalesce(hour, F.lit(0)))
-        .when(hour <= 12, hour % 12 + F.when(half == "p", 12).otherwise(0))
-    )
-    second = F.coalesce(clock(CLOCK, 3).try_cast("int"), F.lit(0))
-    micro = F.rpad(clock(CLOCK, 4), 6, "0").try_cast("decimal(16,6)") / 1_000_000
+        return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
+
+    half = F.coalesce(clock(CLOCK, 5), clock(HOUR_ONLY, 2))
+    hour = F.coalesce(clock(CLOCK, 1), clock(HOUR_ONLY, 1), F.lit("0")).try_cast("int")
+    hour_of_day = F.when(half.isNull(), hour).when(
+        hour <= 12, hour % 12 + F.when(half == "p", 12).otherwise(0)
+    )
+    fraction = F.coalesce(F.left(clock(CLOCK, 4), F.lit(6)), F.lit("0"))
+    second = F.concat(F.coalesce(clock(CLOCK, 3), F.lit("0")), F.lit("."), fraction).try_cast("decimal(16,6)")
     stamp = F.try_make_timestamp_ntz(
         date["y"],
         date["m"],
         date["d"],
         hour_of_day,
         F.coalesce(clock(CLOCK, 2).try_cast("int"), F.lit(0)),
-        F.when(second < 60, second + micro).cast("decimal(16,6)"),
+        F.when(second < 60, second),
     )
     return F.when(stamp.between(F.expr(FIRST_INSTANT), F.expr(LAST_INSTANT)), stamp)
 
@@ -224,6 +225,12 @@ def normalize_datetime(c: Column, pivot_year: int | None = None) -> Column:
     return F.coalesce(let(number, stamp), from_text)
 
 
+@functools.lru_cache(maxsize=64)
+def _text_timestamp_of(column: str, pivot: int, _jvm: int) -> Column:
+    """:func:`_text_timestamp` of a named column, built once: it is by far the widest expression."""
+    return _text_timestamp(F.col(column), pivot)
+
+
 def with_datetime(df: DataFrame, column: str, pivot_year: int | None = None) -> DataFrame:
     """:func:`normalize_datetime` of a column in place, for whole tables.
 
@@ -237,7 +244,8 @@ def with_datetime(df: DataFrame, column: str, pivot_year: int | None = None) ->
     df = df.withColumn(part, _fraction(F.col(value), F.col(base)))
     micros = _numeric_micros(F.abs(value), F.col(base), F.col(part))
     df = df.withColumn(stamp, _micros_to_timestamp(micros))
-    from_text = F.when(F.col(value).isNull(), _text_timestamp(text, _pivot(pivot_year)))
+    text_stamp = _text_timestamp_of(column, _pivot(pivot_year), id(SparkContext._jvm))
+    from_text = F.when(F.col(value).isNull(), text_stamp)
     return df.withColumn(column, F.coalesce(stamp, from_text)).drop(value, base, part, stamp)
 
 

@@ -31,22 +31,30 @@ def combine_checkpoints(*checkpoints: DataFrame) -> DataFrame:
     return merged.groupBy(*KEYS).agg(F.max("last_row").alias("last_row"))
 
 
+def rows_beyond(
+    rows: DataFrame, last_rows: DataFrame, limits: LookupLimits = DEFAULT_LIMITS
+) -> DataFrame:
+    """Rows after the checkpoint; after row 1, the header, in a tab that has none."""
+    marked = lookup_join(rows, last_rows, KEYS, "left", limits=limits)
+    return marked.where(F.col("source_row") > F.coalesce("last_row", F.lit(1))).drop("last_row")
+
+
 def incremental_filter(
     rows: DataFrame,
     last_rows: DataFrame,
     row_counts: DataFrame | None = None,
     limits: LookupLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
-    """Rows after the checkpoint (row 1, the header, if the tab has none) up to the used rows.
+    """Rows after the checkpoint up to the used rows of their tab.
 
     A tab that shrank or did not grow yields nothing. ``row_counts`` defaults to the used rows of
-    the rows beyond the checkpoint: it alone decides, since a count at or below the checkpoint
-    lets nothing through either way.
+    the rows beyond the checkpoint, which suffice: a count at or below the checkpoint lets
+    nothing through either way. Both lookups should be staged.
     """
-    marked = lookup_join(rows, last_rows, KEYS, "left", limits=limits)
-    beyond = marked.where(F.col("source_row") > F.coalesce("last_row", F.lit(1))).drop("last_row")
-    counts = stage(tab_row_count(beyond) if row_counts is None else row_counts, "row_counts")
-    counted = lookup_join(beyond, counts, KEYS, "inner", limits=limits)
+    beyond = rows_beyond(rows, last_rows, limits)
+    if row_counts is None:
+        row_counts = stage(tab_row_count(beyond), "row_counts", measured=True)
+    counted = lookup_join(beyond, row_counts, KEYS, "inner", limits=limits)
     return counted.where("source_row <= n_rows").drop("n_rows")
 
 

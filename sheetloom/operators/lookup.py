@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F, Window as W
+from pyspark.sql import DataFrame, functions as F, Window as W
+
+from sheetloom.session import row_width, staged_size
 
 
 @dataclass(frozen=True)
@@ -26,15 +28,12 @@ class LookupLimits:
 DEFAULT_LIMITS = LookupLimits()
 
 
-def _width(df: DataFrame) -> Column:
-    """Rough size of a row."""
-    return F.length(F.to_json(F.struct(*df.columns)))
-
-
 def fits_broadcast(df: DataFrame, limits: LookupLimits = DEFAULT_LIMITS) -> bool:
-    """Measure ``df`` (one aggregate) against the broadcast bound."""
-    size = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(_width(df)).alias("bytes")).first()
-    return size["rows"] <= limits.rows and (size["bytes"] or 0) <= limits.bytes
+    """Is ``df`` within the broadcast bound? Its size was taken when staged, or is measured now."""
+    size = staged_size(df)
+    if size is None or size.bytes is None:
+        size = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(row_width(df)).alias("bytes")).first()
+    return size.rows <= limits.rows and (size.bytes or 0) <= limits.bytes
 
 
 def lookup_join(
@@ -47,8 +46,8 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``rows`` to ``lookup``, which holds at most one row per key.
 
-    ``lookup`` should be staged: it is read once to be measured and once to be joined. Beyond
-    the bound every key is split over ``limits.salts`` tasks by ``spread_by``.
+    ``lookup`` should be staged, best measured. Beyond the bound every key is split over
+    ``limits.salts`` tasks by ``spread_by``.
     """
     if fits_broadcast(lookup, limits):
         return rows.join(F.broadcast(lookup), keys, how)
@@ -76,7 +75,7 @@ def asof_lookup(
     last marks, smaller by the block size, carries values across blocks.
     """
     values = [c for c in marks.columns if c not in keys and c != position]
-    per_group = marks.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(_width(marks)).alias("w"))
+    per_group = marks.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(row_width(marks)).alias("w"))
     size = per_group.agg(F.sum("n").alias("rows"), F.sum("w").alias("bytes"), F.max("n").alias("densest")).first()
     if (
         (size["rows"] or 0) <= limits.rows

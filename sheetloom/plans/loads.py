@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sheetloom.functions.identity import record_id, row_hash
 from sheetloom.functions.text import strip, strip_to_null
 from sheetloom.operators.dedup import dedup_keep_last, merge_upsert
-from sheetloom.operators.incremental import checkpoint, combine_checkpoints, incremental_filter
+from sheetloom.operators.incremental import checkpoint, combine_checkpoints, incremental_filter, rows_beyond
 from sheetloom.operators.lookup import DEFAULT_LIMITS, LookupLimits, lookup_join
 from sheetloom.operators.shape import (
     blanks_to_null,
@@ -19,8 +19,8 @@ from sheetloom.operators.shape import (
     number_columns,
     project_declared,
 )
-from sheetloom.operators.tabs import KEYS, filter_tabs, header_positions, tab_headers
-from sheetloom.session import stage
+from sheetloom.operators.tabs import KEYS, filter_tabs, header_positions, tab_headers, tab_row_count
+from sheetloom.session import stage, staged_size
 from sheetloom.sources.target import scan_marks, scan_target, target_exists, target_info, write_target
 from sheetloom.spec import LINEAGE_COLUMNS, ORDER_COLUMNS, READ_WIDTH, DatasetSpec
 
@@ -42,7 +42,7 @@ def declared_rows(
     """
     wanted = filter_tabs(rows, spec)
     found = tab_headers(wanted) if headers is None else headers
-    positions = stage(header_positions(found, spec.business_columns), "headers")
+    positions = stage(header_positions(found, spec.business_columns), "headers", measured=True)
     data = wanted.where("source_row > 1").withColumn("cells", F.slice("cells", 1, READ_WIDTH))
     return project_declared(lookup_join(data, positions, KEYS, limits=limits), spec)
 
@@ -107,26 +107,6 @@ def full_load(
     return write_target(prepared, path, spec, _landed_marks(rows, spec), f"{spec.name} full load")
 
 
-def incremental_rows(
-    rows: DataFrame,
-    spec: DatasetSpec,
-    last_rows: DataFrame,
-    ingested_at: datetime.datetime | str | None = None,
-    headers: DataFrame | None = None,
-    row_counts: DataFrame | None = None,
-    limits: LookupLimits = DEFAULT_LIMITS,
-) -> tuple[DataFrame, DataFrame]:
-    """Prepared rows beyond the checkpoint, and the new high-water mark of each tab.
-
-    ``last_rows`` should be staged.
-    """
-    wanted = filter_tabs(rows, spec)
-    found = tab_headers(wanted) if headers is None else headers
-    new = incremental_filter(wanted, last_rows, row_counts, limits)
-    marks = new.groupBy(*KEYS).agg(F.max("source_row").alias("last_row"))
-    return prepare(new, spec, ingested_at, found, limits), marks
-
-
 def incremental_load(
     rows: DataFrame,
     spec: DatasetSpec,
@@ -149,15 +129,22 @@ def incremental_load(
     read_so_far = checkpoint(existing)
     if marks is not None:
         read_so_far = combine_checkpoints(read_so_far, marks)
-    last_rows = stage(read_so_far, "checkpoint")
+    last_rows = stage(read_so_far, "checkpoint", measured=True)
 
-    prepared, new_marks = incremental_rows(rows, spec, last_rows, ingested_at, limits=limits)
+    wanted = filter_tabs(rows, spec)
+    counts = stage(tab_row_count(rows_beyond(wanted, last_rows, limits)), "row_counts", measured=True)
+    if staged_size(counts).rows == 0:
+        return None
+    added = incremental_filter(wanted, last_rows, counts, limits)
+    prepared = prepare(added, spec, ingested_at, tab_headers(wanted), limits)
     new = stage(conform_schema(prepared, spec), "new_rows")
-    if new.isEmpty():
+    if staged_size(new).rows == 0:
         return None
     unique = bool(target_info(spark, path).get("unique_ids"))
     merged = merge_upsert(existing, new, existing_unique=unique, new_unique=True, limits=limits)
-    published_marks = combine_checkpoints(last_rows, new_marks)
+    # the last counted row of a tab is the last row read from it
+    now_read = counts.where("n_rows > 1").withColumnRenamed("n_rows", "last_row")
+    published_marks = combine_checkpoints(last_rows, now_read)
     return write_target(merged, path, spec, published_marks, f"{spec.name} incremental load")
 
 

@@ -17,6 +17,7 @@ from sheetloom.functions.text import (
 from sheetloom.operators.layout import clean_rows, is_client_row, layout_position, mark_rows
 from sheetloom.operators.lookup import DEFAULT_LIMITS, LookupLimits, asof_lookup
 from sheetloom.operators.tabs import KEYS
+from sheetloom.session import stage
 
 # The columns of the client table.
 ACCESS_COLUMNS = ("access_gold_pro", "access_silver_lifetime", "access_gold_pro_lifetime")
@@ -162,8 +163,11 @@ def build_clients(parsed: DataFrame) -> DataFrame:
 
 
 def tracker_clients(rows: DataFrame, limits: LookupLimits = DEFAULT_LIMITS) -> DataFrame:
-    """Raw tracker rows -> client table."""
-    return build_clients(parse_tracker(rows, limits))
+    """Raw tracker rows -> client table.
+
+    The parsed rows are staged: finding the schema and writing the table read them three times.
+    """
+    return build_clients(stage(parse_tracker(rows, limits), "parsed"))
 
 
 def output_name(tabs: Sequence[str], stamp: str) -> str:

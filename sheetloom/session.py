@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 _LOCAL_SCRATCH: dict[str, str] = {}
 
@@ -51,13 +52,39 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/sheetloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+@dataclass(frozen=True)
+class StagedSize:
+    """What was written: rows, and a rough size of their values (None if not asked for)."""
+
+    rows: int
+    bytes: int | None
+
+
+def row_width(df: DataFrame) -> Column:
+    """Rough size of a row."""
+    return F.length(F.to_json(F.struct(*df.columns)))
+
+
+def stage(df: DataFrame, name: str, measured: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
-    The result has no lineage to recompute after an executor is lost, is computed once however
-    often it is used, and its exact size is known to the optimizer.
+    The result has no lineage to recompute after an executor is lost and is computed once however
+    often it is used. Its row count, and with ``measured`` its size, are taken while writing and
+    kept on the result (:func:`staged_size`), so a later size check costs nothing.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    wanted = [F.count(F.lit(1)).alias("rows")]
+    if measured:
+        wanted.append(F.sum(row_width(df)).alias("bytes"))
+    df.observe(seen, *wanted).write.parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    size = seen.get
+    staged._staged_size = StagedSize(size["rows"], (size["bytes"] or 0) if measured else None)
+    return staged
+
+
+def staged_size(df: DataFrame) -> StagedSize | None:
+    """The size of a staged table; None for any other DataFrame."""
+    return getattr(df, "_staged_size", None)

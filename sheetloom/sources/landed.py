@@ -107,7 +107,7 @@ def scan_tabs(
     )
     rows = number_rows(chunks)
     placed = lookup_join(
-        rows, stage(tabs, "tabs"), ["source_spreadsheet", "source_sheet"], "inner", limits=limits
+        rows, stage(tabs, "tabs", measured=True), ["source_spreadsheet", "source_sheet"], "inner", limits=limits
     )
     cells = F.col("cells") if width is None else F.slice("cells", 1, width)
     return placed.withColumn("cells", cells).select(*RAW_SCHEMA.fieldNames())

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sheetloom.operators.lookup import DEFAULT_LIMITS, LookupLimits, lookup_join
 from sheetloom.plans.loads import load
-from sheetloom.session import stage
+from sheetloom.session import stage, staged_size
 from sheetloom.sources.landed import read_raw
 from sheetloom.spec import RAW_SCHEMA, DatasetSpec
 
@@ -31,8 +31,8 @@ def load_available(
     """
 
     def load_batch(batch: DataFrame, _: int) -> None:
-        changed = stage(batch.select("source_spreadsheet").distinct(), "changed_workbooks")
-        if changed.isEmpty():
+        changed = stage(batch.select("source_spreadsheet").distinct(), "changed_workbooks", measured=True)
+        if staged_size(changed).rows == 0:
             return
         session = batch.sparkSession
         rows = lookup_join(read_raw(session, landing), changed, ["source_spreadsheet"], limits=limits)
