@@ -65,12 +65,14 @@ def tab_row_count(rows: DataFrame) -> DataFrame:
 
 
 def tab_headers(rows: DataFrame, width: int | None = READ_WIDTH) -> DataFrame:
-    """Normalised headers (row 1) of each tab that has any."""
+    """Normalised headers (row 1) of each tab that has any; one row per tab.
+
+    A tab landed twice has its first row twice, and joining both would double its rows.
+    """
     cells = F.col("cells") if width is None else F.slice("cells", 1, width)
-    return (
-        rows.where((F.col("source_row") == 1) & (F.size("cells") > 0))
-        .select(*KEYS, normalize_headers(cells).alias("headers"))
-    )
+    first = rows.where((F.col("source_row") == 1) & (F.size("cells") > 0))
+    once = first.groupBy(*KEYS).agg(F.max(cells).alias("cells"))
+    return once.select(*KEYS, normalize_headers(F.col("cells")).alias("headers"))
 
 
 def header_positions(headers: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -13,6 +13,22 @@ from sheetloom.sources.landed import read_raw
 from sheetloom.spec import RAW_SCHEMA, DatasetSpec
 
 
+# Up to this many changed workbooks are named in the scan's partition filter.
+MAX_NAMED_WORKBOOKS = 2000
+
+
+def _rows_of(landed: DataFrame, changed: DataFrame, limits: LookupLimits) -> DataFrame:
+    """Landed rows of the changed workbooks.
+
+    A bounded list of ids becomes a partition filter, so the folders of other workbooks are not
+    read. Beyond the bound most folders are read anyway and a join does.
+    """
+    if staged_size(changed).rows <= MAX_NAMED_WORKBOOKS:
+        return landed.where(F.col("source_spreadsheet").isin([r[0] for r in changed.collect()]))
+    joined = lookup_join(landed, changed, ["source_spreadsheet"], limits=limits)
+    return joined.select(*landed.columns)
+
+
 def load_available(
     spark: SparkSession,
     landing: str,
@@ -34,9 +50,8 @@ def load_available(
         changed = stage(batch.select("source_spreadsheet").distinct(), "changed_workbooks", measured=True)
         if staged_size(changed).rows == 0:
             return
-        session = batch.sparkSession
-        rows = lookup_join(read_raw(session, landing), changed, ["source_spreadsheet"], limits=limits)
-        load(rows.select(*RAW_SCHEMA.fieldNames()), spec, target, ingested_at, limits)
+        rows = _rows_of(read_raw(batch.sparkSession, landing), changed, limits)
+        load(rows, spec, target, ingested_at, limits)
 
     stream = (
         spark.readStream.schema(RAW_SCHEMA)

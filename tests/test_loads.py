@@ -1,6 +1,7 @@
 """Full and incremental loads, publishing, streaming."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,8 +13,10 @@ from sheetloom.operators.quality import ValidationError, validate
 from sheetloom.operators.shape import conform_schema
 from sheetloom.operators.tabs import select_tabs_named, tab_headers
 from sheetloom.plans import loads
+from sheetloom.session import stage, staged_size
 from sheetloom.sources import landed, target
 from sheetloom.spec import BUYERS, LEADS, RAW_SCHEMA
+from sheetloom.streaming import available_now
 from sheetloom.streaming.available_now import load_available
 
 HEAD = ["Name", "Email Address", "Mobile", "City", "Date", "Order Id"]
@@ -217,6 +220,28 @@ def test_stream_loads_only_what_landed(spark, tmp_path):
     assert ids(stored_rows(spark, path)) == ids(stored_rows(spark, str(tmp_path / "once")))
 
 
+def test_stream_reads_only_changed_workbooks(spark, tmp_path, monkeypatch):
+    landing = str(tmp_path / "landing")
+    landed.write_raw(frame(spark, *(tab(w, "buyers", 0, made_rows(w, 3)) for w in range(4))), landing)
+    changed = stage(spark.createDataFrame([("wb1",), ("wb3",)], "source_spreadsheet string"), "changed", measured=True)
+    named = available_now._rows_of(landed.read_raw(spark, landing), changed, LookupLimits())
+    assert "source_spreadsheet" in re.search(r"PartitionFilters: \[(.*?)\]", named._jdf.queryExecution().executedPlan().toString())[1]
+    monkeypatch.setattr(available_now, "MAX_NAMED_WORKBOOKS", 1)
+    joined = available_now._rows_of(landed.read_raw(spark, landing), changed, LookupLimits())
+    assert sorted(map(repr, named.collect())) == sorted(map(repr, joined.collect())) and named.count() == 8
+
+
+def test_relanded_header_does_not_double_rows(spark):
+    rows = frame(spark, tab(0, "buyers", 0, [["Ann", "a@x"]]), tab(0, "buyers", 0, []))
+    assert loads.declared_rows(rows, BUYERS).count() == 1
+
+
+def test_staged_sizes(spark):
+    sizes = [staged_size(stage(d, "s", measured=True)) for d in (spark.range(5), spark.range(5).where("id < 0"))]
+    assert [s.rows for s in sizes] == [5, 0] and sizes[0].bytes > 0 and sizes[1].bytes == 0
+    assert staged_size(spark.range(5)) is None
+
+
 def test_landed_answers(spark, tmp_path):
     values, books = str(tmp_path / "values"), str(tmp_path / "books")
     answer = (
