@@ -47,6 +47,11 @@ def select_tabs_named(rows: DataFrame, requested: Sequence[str], available: Data
     return rows.where(_tab_name_key(F.col("source_sheet")).isin(wanted))
 
 
+def select_tabs_all(rows: DataFrame) -> DataFrame:
+    """Rows of every tab."""
+    return rows
+
+
 def with_workbook_title(rows: DataFrame, titles: DataFrame, limits: LookupLimits = DEFAULT_LIMITS) -> DataFrame:
     """Set ``source_workbook`` from ``titles(source_spreadsheet, title)``, or to the id."""
     titled = lookup_join(

@@ -65,7 +65,10 @@ def parse_tracker(rows: DataFrame, limits: LookupLimits = DEFAULT_LIMITS) -> Dat
         F.when(layout.isNotNull(), F.filter(layout, lambda e: ~F.array_contains(taken, e["name"]))).alias("others"),
     )
     placed = asof_lookup(clean_rows(rows), marks, KEYS, "source_row", limits)
-    below_header = placed.where(F.col("header_row").isNotNull() & (F.col("source_row") != F.col("mark_position")))
+    # Written so that NULLs pass through: the lookup stays an outer join, and the client rules run
+    # once per row above it instead of once per row and mark inside the join condition.
+    data_row = (F.col("source_row") > F.col("header_row")) & (F.col("source_row") != F.col("mark_position"))
+    below_header = placed.where(F.coalesce(data_row, F.lit(False)))
     cell = lambda at: F.coalesce(F.get("cells", at), F.lit(""))
     extras = F.aggregate(
         "others",

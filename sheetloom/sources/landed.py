@@ -19,8 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from sheetloom.operators.lookup import DEFAULT_LIMITS, LookupLimits, lookup_join
 from sheetloom.operators.shape import number_rows
+from sheetloom.operators.tabs import filter_tabs
 from sheetloom.session import stage
-from sheetloom.spec import RAW_SCHEMA, READ_WIDTH
+from sheetloom.spec import RAW_SCHEMA, READ_WIDTH, DatasetSpec
 
 ROWS = T.ArrayType(T.ArrayType(T.StringType()))
 VALUES_SCHEMA = T.StructType(
@@ -113,6 +114,21 @@ def scan_tabs(
     return placed.withColumn("cells", cells).select(*RAW_SCHEMA.fieldNames())
 
 
+def scan_dataset(
+    spark: SparkSession,
+    values: str,
+    workbooks: str,
+    spec: DatasetSpec,
+    lines: bool = True,
+    limits: LookupLimits = DEFAULT_LIMITS,
+) -> DataFrame:
+    """Raw rows of a dataset: its workbooks in their order, its tabs, its columns."""
+    if not spec.workbooks:
+        raise ValueError(f"no workbooks are configured for {spec.name}")
+    listing = tab_listing(read_workbooks(spark, workbooks, lines), spec.workbooks)
+    return scan_tabs(spark, values, filter_tabs(listing, spec), lines=lines, limits=limits)
+
+
 def scan_tab_formatted(
     spark: SparkSession,
     path: str,

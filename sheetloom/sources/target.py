@@ -1,13 +1,16 @@
 """The published dataset.
 
-A target folder holds one sub-folder per version and a small pointer file naming the current one.
-A run writes a new version and then moves the pointer, so the version being read is never
-overwritten and a failed or repeated run leaves the published data as it was.
+A target folder holds one sub-folder per version and, once a version is complete and valid, a small
+file that publishes it. Readers take the highest published version. A run writes a new version
+beside the others, so the one being read is never overwritten, a failed or repeated run leaves the
+published data as it was, and of two runs that publish the same version one fails.
 """
 
 from __future__ import annotations
 
 import json
+import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,57 +18,58 @@ from sheetloom.operators.quality import validate
 from sheetloom.operators.shape import conform_schema
 from sheetloom.spec import DatasetSpec
 
-POINTER = "_current.json"
+PUBLISHED = "_published"
 
 
 def _hadoop(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return jvm, p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _read_pointer(spark: SparkSession, path: str) -> dict | None:
-    jvm, p, fs = _hadoop(spark, f"{path}/{POINTER}")
+def _numbered(spark: SparkSession, path: str, prefix: str, suffix: str = "") -> list[int]:
+    """Sorted numbers ``n`` of the entries ``{prefix}n{suffix}`` of a folder."""
+    p, fs = _hadoop(spark, path)
     if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return json.loads(text)
+        return []
+    names = (status.getPath().getName() for status in fs.listStatus(p))
+    shape = re.compile(re.escape(prefix) + "([0-9]+)" + re.escape(suffix))
+    return sorted(int(m[1]) for m in map(shape.fullmatch, names) if m)
+
 
+def _published(spark: SparkSession, path: str) -> list[int]:
+    return _numbered(spark, f"{path}/{PUBLISHED}", "", ".json")
 
-def _move_pointer(spark: SparkSession, path: str, content: dict) -> None:
-    jvm, p, fs = _hadoop(spark, f"{path}/{POINTER}")
-    stream = fs.create(p, True)
+
+def _publish(spark: SparkSession, path: str, version: int, content: dict) -> None:
+    """The file appears whole, by a rename that does not replace."""
+    draft, fs = _hadoop(spark, f"{path}/{PUBLISHED}/.draft-{uuid.uuid4().hex}")
+    final, _ = _hadoop(spark, f"{path}/{PUBLISHED}/{version}.json")
+    stream = fs.create(draft, False)
     try:
         stream.write(json.dumps(content).encode())
     finally:
         stream.close()
-
-
-def _next_version(spark: SparkSession, path: str) -> int:
-    """One above every version folder, including those of runs that never published."""
-    _, p, fs = _hadoop(spark, path)
-    if not fs.exists(p):
-        return 1
-    names = (status.getPath().getName() for status in fs.listStatus(p))
-    taken = [int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit()]
-    return max(taken, default=0) + 1
+    if fs.exists(final) or not fs.rename(draft, final):
+        raise RuntimeError(f"version {version} of {path} was published by another run")
 
 
 def target_exists(spark: SparkSession, path: str) -> bool:
     """Is there a published version? Decides between a full and an incremental load."""
-    return _read_pointer(spark, path) is not None
+    return bool(_published(spark, path))
 
 
 def target_info(spark: SparkSession, path: str) -> dict:
-    """The pointer's content; an error if nothing was published."""
-    info = _read_pointer(spark, path)
-    if info is None:
+    """What was recorded when the current version was published; an error if there is none."""
+    versions = _published(spark, path)
+    if not versions:
         raise FileNotFoundError(f"no published dataset at {path}")
-    return info
+    p, fs = _hadoop(spark, f"{path}/{PUBLISHED}/{versions[-1]}.json")
+    stream = fs.open(p)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return json.loads(text)
 
 
 def scan_target(spark: SparkSession, path: str, spec: DatasetSpec) -> DataFrame:
@@ -96,27 +100,25 @@ def write_target(
     empty or invalid version is never published. Returns the row count.
     """
     spark = df.sparkSession
-    version = _next_version(spark, path)
+    # above every version folder, including those of runs that never published
+    version = max(_numbered(spark, path, "v="), default=0) + 1
     folder = f"{path}/v={version}"
     conform_schema(df, spec).write.option("compression", "snappy").parquet(f"{folder}/data")
     written = spark.read.schema(spec.stored_schema).parquet(f"{folder}/data")
     rows = validate(written, spec, name, stored=True)
     if marks is not None:
         marks.select("source_spreadsheet", "source_sheet", "last_row").write.parquet(f"{folder}/marks")
-    _move_pointer(
-        spark, path, {"version": version, "rows": rows, "marks": marks is not None, "unique_ids": True}
-    )
+    about = {"version": version, "rows": rows, "marks": marks is not None, "unique_ids": True}
+    _publish(spark, path, version, about)
     return rows
 
 
 def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
-    """Delete all but the newest ``keep`` published or older versions; returns those deleted."""
-    current = target_info(spark, path)["version"]
-    _, p, fs = _hadoop(spark, path)
-    names = (status.getPath().getName() for status in fs.listStatus(p))
-    versions = sorted(int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit())
-    old = [v for v in versions if v <= current][: -max(keep, 1)]
+    """Delete all but the newest ``keep`` published versions, and unpublished older ones."""
+    kept = _published(spark, path)[-max(keep, 1) :]
+    old = [v for v in _numbered(spark, path, "v=") if kept and v < kept[0]]
     for v in old:
-        _, q, _ = _hadoop(spark, f"{path}/v={v}")
-        fs.delete(q, True)
+        for name in (f"{PUBLISHED}/{v}.json", f"v={v}"):
+            p, fs = _hadoop(spark, f"{path}/{name}")
+            fs.delete(p, True)
     return old

@@ -185,6 +185,9 @@ def test_failed_write_is_not_published(spark, tmp_path):
     for _ in range(3):
         target.write_target(good, path, BUYERS)
     assert target.target_info(spark, path)["version"] == 4
+    with pytest.raises(RuntimeError, match="another run"):
+        target._publish(spark, path, 4, {})
+    assert target.target_info(spark, path)["rows"] == good.count()
     assert target.expire_versions(spark, path, keep=2) == [1, 2]
     assert target.scan_target(spark, path, BUYERS).count() == good.count()
 

@@ -77,8 +77,8 @@ def widened(rows: DataFrame) -> DataFrame:
     return rows.withColumn("cells", F.concat("cells", F.split(F.lit("x10,x11,x12,x13,x14"), ",")))
 
 
-def landed_tabs(spark: SparkSession, rows: DataFrame, name: str) -> tuple[str, DataFrame]:
-    """Land rows as JSON lines; returns the values path and the workbook answers read back."""
+def landed_tabs(spark: SparkSession, rows: DataFrame, name: str) -> tuple[str, str]:
+    """Land rows as JSON lines; returns the paths of the values and the workbook answers."""
     values, books = scratch_path(spark, f"{name}_values"), scratch_path(spark, f"{name}_books")
     landed.land_rows(rows, values, rows_per_range=1000)
     listing = rows.select("source_workbook", "source_spreadsheet", "tab_ord", "source_sheet").distinct()
@@ -92,7 +92,7 @@ def landed_tabs(spark: SparkSession, rows: DataFrame, name: str) -> tuple[str, D
         F.struct(title.alias("title")).alias("properties"),
         F.transform("t", sheet).alias("sheets"),
     ).write.json(books)
-    return values, landed.read_workbooks(spark, books)
+    return values, books
 
 
 # ---- sources, sinks, tabs ------------------------------------------------------------------
@@ -101,8 +101,7 @@ def landed_tabs(spark: SparkSession, rows: DataFrame, name: str) -> tuple[str, D
 @query("scan_tabs")
 def _(spark, sf):
     values, books = landed_tabs(spark, widened(raw(spark, sf, "leads_raw")), "leads")
-    wanted = tabs.filter_tabs(landed.tab_listing(books, ["wb0", "wb1", "wb2"]), LEADS)
-    rows = landed.scan_tabs(spark, values, wanted)
+    rows = landed.scan_dataset(spark, values, books, LEADS.with_workbooks("wb0", "wb1", "wb2"))
     return rows.select(
         "source_workbook", *ROW, "workbook_ord", F.size("cells").alias("n_cells"), cells_text()
     )
@@ -111,7 +110,8 @@ def _(spark, sf):
 @query("scan_tab_formatted")
 def _(spark, sf):
     values, books = landed_tabs(spark, widened(raw(spark, sf, "tracker_raw")), "tracker")
-    rows = landed.scan_tab_formatted(spark, values, landed.tab_listing(books))
+    listing = landed.tab_listing(landed.read_workbooks(spark, books))
+    rows = landed.scan_tab_formatted(spark, values, listing)
     return rows.where(F.size("cells") > 0).select(*ROW, F.size("cells").alias("n_cells"), cells_text())
 
 
@@ -135,9 +135,7 @@ def _(spark, sf):
 
 @query("select_tabs_all")
 def _(spark, sf):
-    rows = raw(spark, sf, "leads_raw")
-    everything = [r["source_sheet"] for r in tabs.list_tabs(rows).select("source_sheet").distinct().collect()]
-    return tabs.select_tabs_named(rows, everything).select(*ROW, cells_text())
+    return tabs.select_tabs_all(raw(spark, sf, "leads_raw")).select(*ROW, cells_text())
 
 
 @query("workbook_title")
