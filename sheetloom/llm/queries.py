@@ -4,14 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sheetloom.llm.html_text import extract_text
 from sheetloom.llm.line_dedup import dedup_lines
 from sheetloom.llm.minhash import near_duplicates
+from sheetloom.llm.vectors import near_duplicate_vectors
+from sheetloom.llm.warc import captures, write_archives
+from sheetloom.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article text of every page."""
+    pages = extract_text(_table(spark, sf_dir, "pages"))
+    return pages.select("page_id", "url", "text", "n_chars")
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives, read back and assembled."""
+    path = scratch_path(spark, "warc")
+    write_archives(_table(spark, sf_dir, "pages"), path, min_bytes=0)
+    return captures(spark, path).select(
+        "page_id", "response.payload_bytes", "response.payload_digest", F.col("response.type").alias("record_type"), "refers_to"
+    )
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of 20 characters or more in 3 or more documents stay in the last of them only."""
     kept = dedup_lines(_table(spark, sf_dir, "documents"), min_chars=20, min_docs=3)
@@ -19,14 +38,31 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors linked at a cosine of 0.95."""
+    return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates by 3-word shingles at a similarity of 0.85."""
     return near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85, bands=8, rows=3)
 
 
-QUERIES = {f.__name__: f for f in (op7_line_dedup, op10_minhash_dedup)}
+QUERIES = {f.__name__: f for f in (op3_html_extraction, op5_warc, op7_line_dedup, op8_embedding_dedup, op10_minhash_dedup)}
 
 ORACLES = {
+    "op5_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS hex,
+             min(page_id) OVER (PARTITION BY html) AS first FROM p),
+g AS (SELECT *, list_transform(range(8), lambda g: CAST(concat('0x', substr(hex, CAST(1 + 5 * g AS INT), 5)) AS INT)) AS groups FROM d)
+SELECT page_id, payload_bytes,
+       list_aggregate(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((groups[k // 4 + 1] >> CAST(15 - 5 * (k % 4) AS INT)) & 31) + 1, 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM g
+""",
     "op7_line_dedup": """
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
