@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,20 @@ def words(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_chunks(text: str | None, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """:func:`words` in lists of bounded size, for texts of any length."""
+    data = text.encode().lower() if text else b""
+    start = 0
+    while start < len(data):
+        cut = _BLANK.search(data, start + size)
+        stop = cut.start() if cut else len(data)
+        yield data[start:stop].split()
+        start = stop
+
+
 class WordHashes:
     """64-bit hashes of words, with a cache that is emptied when full (it changes no result)."""
 
@@ -41,6 +56,11 @@ class WordHashes:
             known[t] = xxhash.xxh3_64_intdigest(t)
         return np.fromiter((known[t] for t in tokens), np.uint64, len(tokens))
 
+    def of_text(self, text: str | None) -> np.ndarray:
+        """Hashes of all words of a text, in order."""
+        parts = [self(tokens) for tokens in word_chunks(text)]
+        return np.concatenate(parts) if parts else np.empty(0, np.uint64)
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (splitmix64 finish)."""

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sheetloom.llm.html_text import extract_text
+from sheetloom.llm.language import fit_languages, identify
+from sheetloom.llm.language_model import score_texts
 from sheetloom.llm.line_dedup import dedup_lines
 from sheetloom.llm.minhash import near_duplicates
 from sheetloom.llm.vectors import near_duplicate_vectors
@@ -16,6 +18,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a model of six sevenths of them."""
+    training = F.crc32(F.col("doc_id").cast("string")) % 7 != 2
+    return score_texts(_table(spark, sf_dir, "documents"), training)
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The article text of every page."""
     pages = extract_text(_table(spark, sf_dir, "pages"))
@@ -31,6 +39,15 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages learned from four fifths of the documents, predicted for all."""
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(True))
+    model = fit_languages(docs.where(~held_out))
+    found = identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of 20 characters or more in 3 or more documents stay in the last of them only."""
     kept = dedup_lines(_table(spark, sf_dir, "documents"), min_chars=20, min_docs=3)
@@ -48,7 +65,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85, bands=8, rows=3)
 
 
-QUERIES = {f.__name__: f for f in (op3_html_extraction, op5_warc, op7_line_dedup, op8_embedding_dedup, op10_minhash_dedup)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op3_html_extraction, op5_warc, op6_language_id, op7_line_dedup, op8_embedding_dedup, op10_minhash_dedup)}
 
 ORACLES = {
     "op5_warc": """
