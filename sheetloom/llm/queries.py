@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sheetloom.llm.chat import rotate
+from sheetloom.llm.decontaminate import find_contamination
 from sheetloom.llm.html_text import extract_text
 from sheetloom.llm.language import fit_languages, identify
 from sheetloom.llm.language_model import score_texts
 from sheetloom.llm.line_dedup import dedup_lines
 from sheetloom.llm.minhash import near_duplicates
+from sheetloom.llm.packing import pack
 from sheetloom.llm.vectors import near_duplicate_vectors
 from sheetloom.llm.warc import captures, write_archives
 from sheetloom.session import scratch_path
@@ -24,12 +27,22 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_table(spark, sf_dir, "documents"), training)
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in optimal length buckets and token-budget batches."""
+    return pack(_table(spark, sf_dir, "documents"))
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The article text of every page."""
     pages = extract_text(_table(spark, sf_dir, "pages"))
     return pages.select("page_id", "url", "text", "n_chars")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, as it is or with other numbers, names and units."""
+    return find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to archives, read back and assembled."""
     path = scratch_path(spark, "warc")
@@ -60,12 +73,25 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation from the perspective of each participant."""
+    rotated = rotate(_table(spark, sf_dir, "conversations"))
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return rotated.select("conv_id", "speaker", "part", "n_turns", "text", spans.alias("spans"), "n_trained")
+
+
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates by 3-word shingles at a similarity of 0.85."""
     return near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85, bands=8, rows=3)
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op3_html_extraction, op5_warc, op6_language_id, op7_line_dedup, op8_embedding_dedup, op10_minhash_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_lm_scoring, op2_packing, op3_html_extraction, op4_decontamination, op5_warc, op6_language_id,
+        op7_line_dedup, op8_embedding_dedup, op9_chat_formatting, op10_minhash_dedup,
+    )
+}
 
 ORACLES = {
     "op5_warc": """
@@ -91,5 +117,21 @@ m AS (SELECT k.*, coalesce(r.last_doc <> k.doc_id, false) AS gone FROM k LEFT JO
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id
+""",
+    "op9_chat_formatting": """
+WITH t AS (SELECT conv_id, turn, coalesce(nullif(role, ''), 'unknown') AS role,
+                  replace(coalesce(text, ''), '<|', '< |') AS content, coalesce(turn // 256, -1) AS part FROM conversations),
+s AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
+r AS (SELECT t.*, speaker, role = speaker AS own,
+             CASE WHEN role = 'system' THEN concat('<|system|>', chr(10)) WHEN role = speaker THEN concat('<|assistant|>', chr(10))
+                  ELSE concat('<|user name=', replace(role, '<|', '< |'), '|>', chr(10)) END AS head
+      FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
+w AS (SELECT *, CAST(sum(length(head) + length(content) + 8) OVER (PARTITION BY conv_id, speaker, part
+             ORDER BY turn NULLS FIRST, role, content ROWS UNBOUNDED PRECEDING) AS BIGINT) AS stop FROM r)
+SELECT conv_id, speaker, part, count(*) AS n_turns,
+       string_agg(concat(head, content, '<|end|>', chr(10)), '' ORDER BY stop) AS text,
+       coalesce(string_agg(concat(stop - 8 - length(content), '-', stop), ',' ORDER BY stop) FILTER (own), '') AS spans,
+       CAST(coalesce(sum(length(content) + 8) FILTER (own), 0) AS BIGINT) AS n_trained
+FROM w GROUP BY conv_id, speaker, part
 """,
 }
