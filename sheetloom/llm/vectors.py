@@ -24,29 +24,40 @@ from pyspark.sql import DataFrame, functions as F
 from sheetloom.llm.common import components, pick
 from sheetloom.session import stage, staged_size
 
-_CLASSED = "vec_id long, class binary, vector array<double>"
-_MEMBER = "node long, copies long, cell int, native boolean, vector array<double>"
+# vectors travel as the bytes of their double numbers
+_CLASSED = "vec_id long, class binary, vector binary"
+_MEMBER = "node long, copies long, cell int, native boolean, vector binary"
+
+
+def _doubles(vectors: pa.ListArray) -> list[np.ndarray]:
+    """The vectors in double precision; null vectors are empty, null numbers NaN."""
+    numbers = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    sizes = np.array(vectors.value_lengths().fill_null(0), dtype=np.int64)
+    return np.split(numbers, np.cumsum(sizes)[:-1]) if len(sizes) else []
 
 
 def _classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """vec_id, digest of the vector, vector in double; digest and vector are null where nothing may link."""
+    """vec_id, digest of the vector, vector; digest and vector are null where nothing may link."""
     for batch in batches:
         vectors, digests = [], []
-        for given in batch.column(1).to_pylist():
-            vector = np.array(given if given else [np.nan], dtype=np.float64)
+        for vector in _doubles(batch.column(1)):
             usable = bool(np.isfinite(vector).all() and vector.any())
-            vectors.append(vector if usable else None)
-            digests.append(hashlib.blake2b((vector + 0.0).tobytes(), digest_size=16).digest() if usable else None)
-        arrays = [batch.column(0).cast(pa.int64()), pa.array(digests, pa.binary()), pa.array(vectors, pa.list_(pa.float64()))]
+            vectors.append((vector + 0.0).tobytes() if usable else None)
+            digests.append(hashlib.blake2b(vectors[-1], digest_size=16).digest() if usable else None)
+        arrays = [batch.column(0).cast(pa.int64()), pa.array(digests, pa.binary()), pa.array(vectors, pa.binary())]
         yield pa.RecordBatch.from_arrays(arrays, ["vec_id", "class", "vector"])
 
 
-def unit_rows(vectors: list, width: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Unit vectors as rows, padded with zeros to one width, and their own lengths."""
-    sizes = np.array([len(v) for v in vectors], dtype=np.int64)
-    rows = np.zeros((len(vectors), width or int(sizes.max(initial=1))))
-    for k, v in enumerate(vectors):
-        rows[k, : min(len(v), rows.shape[1])] = v[: rows.shape[1]]
+def unit_rows(vectors: list[bytes], width: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors as rows, padded with zeros (or cut) to one width, and their own lengths."""
+    sizes = np.array([len(v) // 8 for v in vectors], dtype=np.int64)
+    width = width or int(sizes.max(initial=1))
+    if (sizes == width).all():
+        rows = np.frombuffer(b"".join(vectors)).reshape(len(vectors), width).copy()
+    else:
+        rows = np.zeros((len(vectors), width))
+        for k, v in enumerate(vectors):
+            rows[k, : min(len(v) // 8, width)] = np.frombuffer(v)[:width]
     rows /= np.maximum(np.abs(rows).max(axis=1, keepdims=True), np.finfo(float).tiny)  # squares can't overflow
     rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), np.finfo(float).tiny)
     return rows, sizes
@@ -95,13 +106,22 @@ def _compare(threshold: float):
         copies, native, part = (table[c].to_numpy(zero_copy_only=False) for c in ("copies", "native", "part"))
         rows, sizes = unit_rows(table["vector"].to_pylist())
         low, high = np.flatnonzero(part == table["i"][0].as_py()), np.flatnonzero(part == table["j"][0].as_py())
-        linked = rows[low] @ rows[high].T >= threshold
-        linked &= (native[low][:, None] | native[high][None]) & (sizes[low][:, None] == sizes[high][None])
-        linked &= low[:, None] != high[None]
-        a, b = np.nonzero(linked)
-        a, b = low[a], high[b]
-        if len(low) != len(node):  # two parts: each link was seen from one side only
-            a, b = np.concatenate([a, b]), np.concatenate([b, a])
+        inside = len(low) == len(node)  # one part with itself: natives against all of it see every link
+        jobs = [(low[native[low]], high)]
+        if not inside:
+            jobs.append((high[native[high]], low[~native[low]]))
+        found_a, found_b = [], []
+        for ours, theirs in jobs:
+            for at in range(0, len(ours), 256):
+                some = ours[at : at + 256]
+                linked = rows[some] @ rows[theirs].T >= threshold
+                linked &= (sizes[some][:, None] == sizes[theirs][None]) & (some[:, None] != theirs[None])
+                a, b = np.nonzero(linked)
+                found_a.append(some[a])
+                found_b.append(theirs[b])
+        a, b = (np.concatenate([np.empty(0, np.int64), *x]) for x in (found_a, found_b))
+        back = ~native[b] if inside else np.ones(len(b), bool)  # links seen from one side only
+        a, b = np.concatenate([a, b[back]]), np.concatenate([b, a[back]])
         links = np.bincount(a, weights=copies[b], minlength=len(node)).astype(np.int64)
         hub, before = node.copy(), None
         while before is None or (hub != before).any():
@@ -118,7 +138,7 @@ def near_duplicate_vectors(
     threshold: float = 0.95,
     sample_rows: int = 16_384,
     max_cells: int = 1024,
-    part_rows: int = 2048,
+    part_rows: int = 8192,
     reach: float = 4.0,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
@@ -142,7 +162,7 @@ def near_duplicate_vectors(
         share = min(1.0, sample_rows / n)
         chosen = classes.where(F.pmod(F.xxhash64("class"), F.lit(1_000_003)) < F.lit(share * 1_000_003))
         sample = [r.vector for r in chosen.select("vector").orderBy("class").limit(2 * sample_rows).collect()]
-        rows, _ = unit_rows(sample or [[1.0]])
+        rows, _ = unit_rows(sample or [np.ones(1).tobytes()])
         cells = max(1, min(max_cells, math.ceil(math.sqrt(n) / 4), len(rows)))
         centroids = spherical_kmeans(rows, cells)
         margin = reach * math.sqrt((1 - threshold**2) / max(1, rows.shape[1] - 1))
