@@ -23,12 +23,13 @@ def union_all(*parts: DataFrame) -> DataFrame:
 def dedup_keep_last(
     df: DataFrame, key: str = "record_id", order: Sequence[str] = ("load_seq",) + ORDER_COLUMNS
 ) -> DataFrame:
-    """One row per key: the last in ``order`` (order columns ``df`` lacks are skipped).
+    """One row per key: the last in ``order`` (order columns ``df`` lacks are skipped). Rows of equal place are
+    ordered by ``row_hash`` if there is one, so the result does not depend on the partitioning.
 
     An aggregate, so rows are combined before the shuffle: a key shared by a large part of the
     data sends one row per input task.
     """
-    position = F.struct(*(c for c in order if c in df.columns))
+    position = F.struct(*(c for c in (*order, "row_hash") if c in df.columns))
     rest = F.struct(*(c for c in df.columns if c != key))
     newest = df.groupBy(key).agg(F.max_by(rest, position).alias("__row"))
     return newest.select(*(F.col(key) if c == key else F.col("__row")[c].alias(c) for c in df.columns))

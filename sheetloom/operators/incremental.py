@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sheetloom.operators.lookup import DEFAULT_LIMITS, LookupLimits, lookup_join
 from sheetloom.operators.tabs import KEYS, tab_row_count
@@ -58,6 +60,62 @@ def incremental_filter(
     return counted.where("source_row <= n_rows").drop("n_rows")
 
 
+# The row numbers read are kept by blocks of this many, so no tab is gathered in one row.
+BLOCK_ROWS = 4096
+
+
+def _block() -> Column:
+    return F.floor(F.col("source_row") / BLOCK_ROWS).cast("bigint")
+
+
+def row_blocks(rows: DataFrame) -> DataFrame:
+    """The row numbers below the header that each tab has: the tab, ``block``, ``numbers``."""
+    below = rows.where("source_row > 1")
+    return below.groupBy(*KEYS, _block().alias("block")).agg(F.sort_array(F.collect_set("source_row")).alias("numbers"))
+
+
+def merge_blocks(*parts: DataFrame) -> DataFrame:
+    """The union of several :func:`row_blocks`."""
+    every = reduce(DataFrame.unionByName, parts)
+    numbers = F.sort_array(F.array_distinct(F.flatten(F.collect_list("numbers"))))
+    return every.groupBy(*KEYS, "block").agg(numbers.alias("numbers"))
+
+
+def unread_blocks(present: DataFrame, read: DataFrame) -> DataFrame:
+    """What ``present`` has and ``read`` lacks: rows of new tabs, rows at the end, and ranges that landed late."""
+    known = read.withColumnRenamed("numbers", "known")
+    joined = present.join(known, [*KEYS, "block"], "left")
+    unread = F.when(F.col("known").isNull(), F.col("numbers")).otherwise(F.array_except("numbers", "known"))
+    return joined.select(*KEYS, "block", unread.alias("numbers")).where(F.size("numbers") > 0)
+
+
+def rows_in_blocks(rows: DataFrame, blocks: DataFrame, limits: LookupLimits = DEFAULT_LIMITS) -> DataFrame:
+    """The rows that ``blocks`` names. ``blocks`` should be staged and measured."""
+    named = lookup_join(rows.withColumn("block", _block()), blocks, [*KEYS, "block"], limits=limits)
+    return named.where(F.array_contains("numbers", F.col("source_row"))).drop("block", "numbers")
+
+
+def last_read(blocks: DataFrame) -> DataFrame:
+    """The last row read of each tab, from :func:`row_blocks`."""
+    return blocks.groupBy(*KEYS).agg(F.max(F.array_max("numbers")).alias("last_row"))
+
+
+def tab_report(row_counts: DataFrame, headers: DataFrame, last_rows: DataFrame, added: DataFrame) -> DataFrame:
+    """What a load did with each tab: the tab, n_rows (used rows), last_row (read before), new_rows, and note.
+
+    ``note`` is ``no header``, ``no data rows``, ``shrunk`` (fewer used rows than were read before), else NULL.
+    """
+    brought = added.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("new_rows"))
+    joined = row_counts.join(headers.select(*KEYS, F.lit(True).alias("has_header")), KEYS, "left")
+    joined = joined.join(last_rows, KEYS, "left").join(brought, KEYS, "left")
+    note = (
+        F.when(F.col("has_header").isNull(), "no header")
+        .when(F.col("n_rows") <= 1, "no data rows")
+        .when(F.col("n_rows") < F.col("last_row"), "shrunk")
+    )
+    return joined.select(*KEYS, "n_rows", "last_row", F.coalesce("new_rows", F.lit(0)).alias("new_rows"), note.alias("note"))
+
+
 def shrunk_tabs(row_counts: DataFrame, last_rows: DataFrame) -> DataFrame:
     """Tabs that now hold fewer rows than were already processed."""
     return row_counts.join(last_rows, KEYS).where("n_rows < last_row").select(*KEYS, "last_row", "n_rows")

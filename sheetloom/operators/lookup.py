@@ -65,7 +65,7 @@ def asof_lookup(
 ) -> DataFrame:
     """Attach to each row the latest mark of its group at or above its position.
 
-    ``marks`` has ``keys``, ``position`` and value columns, at most one mark per position; it is
+    Rows and marks with a NULL key match nothing. ``marks`` has ``keys``, ``position`` and value columns, at most one mark per position; it is
     read twice and should be staged. The
     result has every column of ``rows``, the value columns (NULL above the first mark) and
     ``mark_position``.
@@ -74,6 +74,7 @@ def asof_lookup(
     fixed blocks of positions; a window fills forward inside a block, and a per-block table of
     last marks, smaller by the block size, carries values across blocks.
     """
+    marks = marks.dropna(subset=keys)
     values = [c for c in marks.columns if c not in keys and c != position]
     per_group = marks.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(row_width(marks)).alias("w"))
     size = per_group.agg(F.sum("n").alias("rows"), F.sum("w").alias("bytes"), F.max("n").alias("densest")).first()

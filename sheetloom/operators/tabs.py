@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sheetloom.functions.headers import normalize_headers
+from sheetloom.functions.text import strip
 from sheetloom.operators.lookup import DEFAULT_LIMITS, LookupLimits, lookup_join
-from sheetloom.spec import READ_WIDTH, TAB_KEYS, DatasetSpec
+from sheetloom.spec import TAB_KEYS, DatasetSpec
 
 KEYS = list(TAB_KEYS)
 
@@ -24,7 +25,7 @@ def list_tabs(rows: DataFrame) -> DataFrame:
 
 
 def _tab_name_key(c: Column) -> Column:
-    return F.lower(F.trim(c))
+    return F.lower(strip(c))
 
 
 def select_tabs_named(rows: DataFrame, requested: Sequence[str], available: DataFrame | None = None) -> DataFrame:
@@ -69,14 +70,15 @@ def tab_row_count(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*KEYS).agg(F.coalesce(used, F.lit(0)).cast("long").alias("n_rows"))
 
 
-def tab_headers(rows: DataFrame, width: int | None = READ_WIDTH) -> DataFrame:
-    """Normalised headers (row 1) of each tab that has any; one row per tab.
+def tab_headers(rows: DataFrame, width: int | None = None) -> DataFrame:
+    """Normalised headers (row 1) of each tab that has any, of the first ``width`` columns; one row per tab.
 
-    A tab landed twice has its first row twice, and joining both would double its rows.
+    A tab landed twice has its first row twice: the one landed last counts, by its content if that is not known.
     """
     cells = F.col("cells") if width is None else F.slice("cells", 1, width)
     first = rows.where((F.col("source_row") == 1) & (F.size("cells") > 0))
-    once = first.groupBy(*KEYS).agg(F.max(cells).alias("cells"))
+    newest = F.struct(*(c for c in ("landed_seq",) if c in rows.columns), "cells")
+    once = first.groupBy(*KEYS).agg(F.max_by(cells, newest).alias("cells"))
     return once.select(*KEYS, normalize_headers(F.col("cells")).alias("headers"))
 
 

@@ -9,7 +9,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sheetloom.functions.identity import record_id, row_hash
 from sheetloom.functions.text import strip, strip_to_null
 from sheetloom.operators.dedup import dedup_keep_last, merge_upsert
-from sheetloom.operators.incremental import checkpoint, combine_checkpoints, incremental_filter, rows_beyond
+from sheetloom.operators.incremental import (
+    checkpoint,
+    last_read,
+    merge_blocks,
+    row_blocks,
+    rows_in_blocks,
+    tab_report,
+    unread_blocks,
+)
 from sheetloom.operators.lookup import DEFAULT_LIMITS, LookupLimits, lookup_join
 from sheetloom.operators.shape import (
     blanks_to_null,
@@ -22,7 +30,7 @@ from sheetloom.operators.shape import (
 from sheetloom.operators.tabs import KEYS, filter_tabs, header_positions, tab_headers, tab_row_count
 from sheetloom.session import stage, staged_size
 from sheetloom.sources.target import scan_marks, scan_target, target_exists, target_info, write_target
-from sheetloom.spec import LINEAGE_COLUMNS, ORDER_COLUMNS, READ_WIDTH, DatasetSpec
+from sheetloom.spec import LINEAGE_COLUMNS, ORDER_COLUMNS, DatasetSpec
 
 
 def _run_time(at: datetime.datetime | str | None) -> Column:
@@ -41,9 +49,11 @@ def declared_rows(
     position. Tabs without a header are skipped. ``headers`` defaults to row 1 of ``rows``.
     """
     wanted = filter_tabs(rows, spec)
-    found = tab_headers(wanted) if headers is None else headers
+    found = tab_headers(wanted, spec.read_width) if headers is None else headers
     positions = stage(header_positions(found, spec.business_columns), "headers", measured=True)
-    data = wanted.where("source_row > 1").withColumn("cells", F.slice("cells", 1, READ_WIDTH))
+    data = wanted.where("source_row > 1")
+    if spec.read_width is not None:
+        data = data.withColumn("cells", F.slice("cells", 1, spec.read_width))
     return project_declared(lookup_join(data, positions, KEYS, limits=limits), spec)
 
 
@@ -81,7 +91,7 @@ def clean(
         | {c: strip(F.col(c)) for c in LINEAGE_COLUMNS if c != "source_row"}
     )
     df = identify(df, spec, ingested_at)
-    return df.select(*spec.columns, *(c for c in ORDER_COLUMNS if c not in spec.columns))
+    return df.select(*spec.columns, *(c for c in ORDER_COLUMNS if c in df.columns and c not in spec.columns))
 
 
 def reprepare(target: DataFrame, spec: DatasetSpec) -> DataFrame:
@@ -91,8 +101,15 @@ def reprepare(target: DataFrame, spec: DatasetSpec) -> DataFrame:
     return conform_schema(drop_blank_rows(df, spec), spec)
 
 
-def _landed_marks(rows: DataFrame, spec: DatasetSpec) -> DataFrame:
-    return filter_tabs(rows, spec).groupBy(*KEYS).agg(F.max("source_row").alias("last_row"))
+def _readable(rows: DataFrame, spec: DatasetSpec, limits: LookupLimits) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of the dataset's tabs, their headers (staged), and the rows below a header.
+
+    A tab without a header is left out of the last, so its rows are not taken as read and wait for a header.
+    """
+    wanted = filter_tabs(rows, spec)
+    headers = stage(tab_headers(wanted, spec.read_width), "headers", measured=True)
+    below = lookup_join(wanted.where("source_row > 1"), headers.select(*KEYS), KEYS, limits=limits)
+    return wanted, headers, below
 
 
 def full_load(
@@ -103,8 +120,11 @@ def full_load(
     limits: LookupLimits = DEFAULT_LIMITS,
 ) -> int:
     """Publish all rows of all workbooks; no rows is an error. Returns the row count."""
-    prepared = prepare(rows, spec, ingested_at, limits=limits)
-    return write_target(prepared, path, spec, _landed_marks(rows, spec), f"{spec.name} full load")
+    wanted, headers, below = _readable(rows, spec, limits)
+    read = stage(row_blocks(below), "read")
+    report = tab_report(tab_row_count(wanted), headers, last_read(read.where("false")), below)
+    prepared = prepare(rows, spec, ingested_at, headers, limits)
+    return write_target(prepared, path, spec, read, f"{spec.name} full load", report)
 
 
 def incremental_load(
@@ -119,33 +139,35 @@ def incremental_load(
 
     Returns the row count, or None when there is nothing new; the target is untouched then.
 
-    The checkpoint is the last row per tab found in the target. A row that lost to a later
-    duplicate is not in it, so a tab ending in such rows would be read again and again;
-    ``high_water_marks`` keeps the last row read per tab beside the target and uses the larger.
+    The row numbers read are kept beside the target, by blocks. So a range that lands after later ones is
+    still read, and so are the rows of a tab whose header comes late. A target without them (an adopted one), or
+    ``high_water_marks=False``, falls back on the last row per tab in the target: rows up to it count as read.
     """
     spark = rows.sparkSession
     existing = scan_target(spark, path, spec)
-    marks = scan_marks(spark, path) if high_water_marks else None
-    read_so_far = checkpoint(existing)
-    if marks is not None:
-        read_so_far = combine_checkpoints(read_so_far, marks)
-    last_rows = stage(read_so_far, "checkpoint", measured=True)
-
-    wanted = filter_tabs(rows, spec)
-    counts = stage(tab_row_count(rows_beyond(wanted, last_rows, limits)), "row_counts", measured=True)
-    if staged_size(counts).rows == 0:
+    wanted, headers, below = _readable(rows, spec, limits)
+    present = row_blocks(below)
+    read = scan_marks(spark, path) if high_water_marks else None
+    if read is None:
+        upto = F.coalesce("last_row", F.lit(0))
+        known = present.join(stage(checkpoint(existing), "checkpoint"), KEYS, "left")
+        read = stage(known.select(*KEYS, "block", F.filter("numbers", lambda n: n <= upto).alias("numbers")), "read")
+    unread = stage(unread_blocks(present, read), "unread", measured=True)
+    if staged_size(unread).rows == 0:
         return None
-    added = incremental_filter(wanted, last_rows, counts, limits)
-    prepared = prepare(added, spec, ingested_at, tab_headers(wanted), limits)
+    waiting = rows_in_blocks(below, unread, limits)
+    last_rows = last_read(read)
+    used = tab_row_count(waiting).join(last_rows, KEYS, "left")
+    used = stage(used.select(*KEYS, F.greatest("n_rows", F.coalesce("last_row", F.lit(0))).alias("n_rows")), "used", measured=True)
+    added = lookup_join(waiting, used, KEYS, limits=limits).where("source_row <= n_rows").drop("n_rows")
+    prepared = prepare(added, spec, ingested_at, headers, limits)
     new = stage(conform_schema(prepared, spec), "new_rows")
     if staged_size(new).rows == 0:
         return None
     unique = bool(target_info(spark, path).get("unique_ids"))
     merged = merge_upsert(existing, new, existing_unique=unique, new_unique=True, limits=limits)
-    # the last counted row of a tab is the last row read from it
-    now_read = counts.where("n_rows > 1").withColumnRenamed("n_rows", "last_row")
-    published_marks = combine_checkpoints(last_rows, now_read)
-    return write_target(merged, path, spec, published_marks, f"{spec.name} incremental load")
+    report = tab_report(tab_row_count(wanted), headers, last_rows, added)
+    return write_target(merged, path, spec, merge_blocks(read, row_blocks(added)), f"{spec.name} incremental load", report)
 
 
 def load(
@@ -162,6 +184,11 @@ def load(
 
 
 def adopt_target(spark, parquet: str, path: str, spec: DatasetSpec) -> int:
-    """Publish an existing plain Parquet dataset as the first version of a target."""
-    existing = dedup_keep_last(reprepare(spark.read.parquet(parquet), spec), order=("source_row",))
+    """Publish an existing plain Parquet dataset as the first version of a target.
+
+    Of rows with one id the last of the last tab stays; tabs follow each other by their ids and names, as the
+    dataset does not know their order.
+    """
+    order = ("source_spreadsheet", "source_sheet", "source_row")
+    existing = dedup_keep_last(reprepare(spark.read.parquet(parquet), spec), order=order)
     return write_target(existing, path, spec, name=f"{spec.name} adopted table")

@@ -11,6 +11,7 @@ from sheetloom.functions.text import (
     clean_email,
     clean_mobile,
     client_status,
+    let,
     title_case,
     to_bool,
 )
@@ -21,17 +22,6 @@ from sheetloom.session import stage
 
 # The columns of the client table.
 ACCESS_COLUMNS = ("access_gold_pro", "access_silver_lifetime", "access_gold_pro_lifetime")
-HEADER_COLUMNS = (
-    "name",
-    "email",
-    "mobile",
-    "coach",
-    "tech_member",
-    "status",
-    "status_data",
-    *ACCESS_COLUMNS,
-    "comment",
-)
 CORE_COLUMNS = (
     "name",
     "email",
@@ -45,6 +35,7 @@ CORE_COLUMNS = (
     *ACCESS_COLUMNS,
     "comment",
 )
+HEADER_COLUMNS = tuple(c for c in CORE_COLUMNS if c not in ("client_status", "is_active"))
 META_COLUMNS = ("section", "source_sheet", "source_row")
 
 
@@ -56,13 +47,17 @@ def parse_tracker(rows: DataFrame, limits: LookupLimits = DEFAULT_LIMITS) -> Dat
     """
     taken = F.array(*(F.lit(c) for c in CORE_COLUMNS + META_COLUMNS))
     layout = F.col("layout")
+    untaken = F.filter(layout, lambda e: ~F.array_contains(taken, e["name"]))
+    # of equal names the last one counts; settled once per mark
+    repeated = lambda all_, e, i: F.exists(F.slice(all_, i + 2, F.size(all_)), lambda x: x["name"] == e["name"])
+    others = let(untaken, lambda all_: F.filter(all_, lambda e, i: ~repeated(all_, e, i)))
     marks = mark_rows(rows, limits).select(
         *KEYS,
         "source_row",
         "header_row",
         "section",
         *(layout_position(layout, c).alias(f"at_{c}") for c in HEADER_COLUMNS),
-        F.when(layout.isNotNull(), F.filter(layout, lambda e: ~F.array_contains(taken, e["name"]))).alias("others"),
+        F.when(layout.isNotNull(), others).alias("others"),
     )
     placed = asof_lookup(clean_rows(rows), marks, KEYS, "source_row", limits)
     # Written so that NULLs pass through: the lookup stays an outer join, and the client rules run
@@ -70,13 +65,7 @@ def parse_tracker(rows: DataFrame, limits: LookupLimits = DEFAULT_LIMITS) -> Dat
     data_row = (F.col("source_row") > F.col("header_row")) & (F.col("source_row") != F.col("mark_position"))
     below_header = placed.where(F.coalesce(data_row, F.lit(False)))
     cell = lambda at: F.coalesce(F.get("cells", at), F.lit(""))
-    extras = F.aggregate(
-        "others",
-        F.create_map().cast("map<string,string>"),
-        lambda done, e: F.map_concat(
-            F.map_filter(done, lambda k, _: k != e["name"]), F.create_map(e["name"], cell(e["at"]))
-        ),
-    )
+    extras = F.map_from_arrays(F.col("others.name"), F.transform("others", lambda e: cell(e["at"])))
     records = below_header.select(
         "source_spreadsheet",
         "tab_ord",

@@ -21,7 +21,7 @@ from sheetloom.operators.lookup import DEFAULT_LIMITS, LookupLimits, lookup_join
 from sheetloom.operators.shape import number_rows
 from sheetloom.operators.tabs import filter_tabs
 from sheetloom.session import stage
-from sheetloom.spec import RAW_SCHEMA, READ_WIDTH, DatasetSpec
+from sheetloom.spec import RAW_SCHEMA, DatasetSpec
 
 ROWS = T.ArrayType(T.ArrayType(T.StringType()))
 VALUES_SCHEMA = T.StructType(
@@ -90,28 +90,27 @@ def scan_tabs(
     spark: SparkSession,
     path: str,
     tabs: DataFrame,
-    width: int | None = READ_WIDTH,
+    width: int | None = None,
     lines: bool = True,
     limits: LookupLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
-    """All rows of the listed tabs as raw rows, cut to the first ``width`` columns.
+    """All rows of the listed tabs as raw rows, cut to the first ``width`` columns (None: not cut).
 
-    ``tabs`` comes from :func:`tab_listing`, already filtered to the tabs wanted.
+    ``tabs`` comes from :func:`tab_listing`, already filtered to the tabs wanted. Ranges of other tabs go before
+    their rows are numbered.
     """
     landed = spark.read.schema(VALUES_SCHEMA).json(path, multiLine=not lines)
     ranges = landed.select("spreadsheetId", F.explode("valueRanges").alias("r"))
+    values = F.col("r.values")
     chunks = ranges.select(
         F.col("spreadsheetId").alias("source_spreadsheet"),
         _range_tab(F.col("r.range")).alias("source_sheet"),
         _range_start(F.col("r.range")).alias("start_row"),
-        F.col("r.values").alias("values"),
+        (values if width is None else F.transform(values, lambda cells: F.slice(cells, 1, width))).alias("values"),
     )
-    rows = number_rows(chunks)
-    placed = lookup_join(
-        rows, stage(tabs, "tabs", measured=True), ["source_spreadsheet", "source_sheet"], "inner", limits=limits
-    )
-    cells = F.col("cells") if width is None else F.slice("cells", 1, width)
-    return placed.withColumn("cells", cells).select(*RAW_SCHEMA.fieldNames())
+    listed = stage(tabs, "tabs", measured=True)
+    placed = lookup_join(chunks, listed, ["source_spreadsheet", "source_sheet"], "inner", "start_row", limits)
+    return number_rows(placed).select(*RAW_SCHEMA.fieldNames())
 
 
 def scan_dataset(
@@ -126,7 +125,7 @@ def scan_dataset(
     if not spec.workbooks:
         raise ValueError(f"no workbooks are configured for {spec.name}")
     listing = tab_listing(read_workbooks(spark, workbooks, lines), spec.workbooks)
-    return scan_tabs(spark, values, filter_tabs(listing, spec), lines=lines, limits=limits)
+    return scan_tabs(spark, values, filter_tabs(listing, spec), spec.read_width, lines, limits)
 
 
 def scan_tab_formatted(
@@ -137,7 +136,7 @@ def scan_tab_formatted(
     limits: LookupLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Rows of whole tabs, every column, as landed (displayed strings)."""
-    return scan_tabs(spark, path, tabs, width=None, lines=lines, limits=limits)
+    return scan_tabs(spark, path, tabs, lines=lines, limits=limits)
 
 
 def land_rows(rows: DataFrame, path: str, rows_per_range: int = 5000) -> None:
@@ -168,5 +167,6 @@ def write_raw(rows: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Read a Parquet landing of raw rows."""
-    return spark.read.schema(RAW_SCHEMA).parquet(path).select(*RAW_SCHEMA.fieldNames())
+    """Read a Parquet landing of raw rows; ``landed_seq`` is the time their file was written, in microseconds."""
+    landed = F.unix_micros("_metadata.file_modification_time").alias("landed_seq")
+    return spark.read.schema(RAW_SCHEMA).parquet(path).select(*RAW_SCHEMA.fieldNames(), landed)

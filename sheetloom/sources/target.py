@@ -79,20 +79,27 @@ def scan_target(spark: SparkSession, path: str, spec: DatasetSpec) -> DataFrame:
 
 
 def scan_marks(spark: SparkSession, path: str) -> DataFrame | None:
-    """High-water marks of the current version, if it has any."""
+    """The row numbers read (``row_blocks``) of the current version, if it has any."""
     info = target_info(spark, path)
     if not info.get("marks"):
         return None
-    schema = "source_spreadsheet string, source_sheet string, last_row bigint"
+    schema = "source_spreadsheet string, source_sheet string, block bigint, numbers array<bigint>"
     return spark.read.schema(schema).parquet(f"{path}/v={info['version']}/marks")
 
 
+def scan_report(spark: SparkSession, path: str) -> DataFrame | None:
+    """The tab report of the load that published the current version, if it has one."""
+    info = target_info(spark, path)
+    return spark.read.parquet(f"{path}/v={info['version']}/report") if info.get("report") else None
+
+
 def write_target(
     df: DataFrame,
     path: str,
     spec: DatasetSpec,
     marks: DataFrame | None = None,
     name: str = "table",
+    report: DataFrame | None = None,
 ) -> int:
     """Write ``df`` as a new version in the stored schema, validate it, and publish it.
 
@@ -107,8 +114,10 @@ def write_target(
     written = spark.read.schema(spec.stored_schema).parquet(f"{folder}/data")
     rows = validate(written, spec, name, stored=True)
     if marks is not None:
-        marks.select("source_spreadsheet", "source_sheet", "last_row").write.parquet(f"{folder}/marks")
-    about = {"version": version, "rows": rows, "marks": marks is not None, "unique_ids": True}
+        marks.select("source_spreadsheet", "source_sheet", "block", "numbers").write.parquet(f"{folder}/marks")
+    if report is not None:
+        report.write.parquet(f"{folder}/report")
+    about = {"version": version, "rows": rows, "marks": marks is not None, "report": report is not None, "unique_ids": True}
     _publish(spark, path, version, about)
     return rows
 

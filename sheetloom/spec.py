@@ -10,11 +10,9 @@ from pyspark.sql import types as T
 LINEAGE_COLUMNS = ("source_workbook", "source_spreadsheet", "source_sheet", "source_row")
 IDENTITY_COLUMNS = ("record_id", "row_hash", "ingested_at_utc")
 
-# Fixed value: sheets are read from column A up to column L.
-READ_WIDTH = 12
-
-# A row's place in the source: "last" always means the largest of these, in this order.
-ORDER_COLUMNS = ("workbook_ord", "tab_ord", "source_row")
+# A row's place in the source: "last" always means the largest of these, in this order. The time a row was
+# landed decides between landings of the same sheet row.
+ORDER_COLUMNS = ("workbook_ord", "tab_ord", "source_row", "landed_seq")
 TAB_KEYS = ("source_spreadsheet", "source_sheet")
 
 RAW_SCHEMA = T.StructType(
@@ -35,7 +33,8 @@ class DatasetSpec:
     """Declared shape of a dataset.
 
     ``business`` maps each declared column to its kind: ``text``, ``integer``, ``double``,
-    or ``datetime`` (decoded while processing, stored as text).
+    or ``datetime`` (decoded while processing, stored as text). Sheets are read from column A up to
+    column number ``read_width`` (L); None reads every column.
     """
 
     name: str
@@ -44,6 +43,7 @@ class DatasetSpec:
     date_column: str
     dropped: tuple[str, ...] = ()
     workbooks: tuple[str, ...] = ()
+    read_width: int | None = 12
 
     def with_workbooks(self, *ids: str) -> "DatasetSpec":
         """The same dataset over these workbook ids, in loading order."""

@@ -13,19 +13,14 @@ from sheetloom.sources.landed import read_raw
 from sheetloom.spec import RAW_SCHEMA, DatasetSpec
 
 
-# Up to this many changed workbooks are named in the scan's partition filter.
-MAX_NAMED_WORKBOOKS = 2000
-
-
 def _rows_of(landed: DataFrame, changed: DataFrame, limits: LookupLimits) -> DataFrame:
     """Landed rows of the changed workbooks.
 
-    A bounded list of ids becomes a partition filter, so the folders of other workbooks are not
-    read. Beyond the bound most folders are read anyway and a join does.
+    The workbook is the landing's partition column. The filter on the ids, which keeps all of them, makes Spark
+    prune the folders by the join, whatever the number of workbooks.
     """
-    if staged_size(changed).rows <= MAX_NAMED_WORKBOOKS:
-        return landed.where(F.col("source_spreadsheet").isin([r[0] for r in changed.collect()]))
-    joined = lookup_join(landed, changed, ["source_spreadsheet"], limits=limits)
+    named = changed.where(F.length("source_spreadsheet") > 0)
+    joined = lookup_join(landed, named, ["source_spreadsheet"], limits=limits)
     return joined.select(*landed.columns)
 
 

@@ -62,30 +62,97 @@ def test_double_text_like_python(evaluate):
     assert evaluate(double_text, [float("nan"), float("inf"), None], "double") == [None, "inf", None]
 
 
-def like_pandas(text: str):
-    """The date of one text on its own."""
-    number = pd.to_numeric(pd.Series([text], dtype=object), errors="coerce")
-    if number.notna()[0]:
-        size = abs(number[0])
-        for least, unit in ((1e17, "ns"), (1e14, "us"), (1e11, "ms"), (1e8, "s")):
-            if size >= least:
-                stamp = pd.to_datetime(number, unit=unit, errors="coerce")[0]
-                break
-        else:
-            stamp = pd.to_datetime(number, unit="D", origin="1899-12-30", errors="coerce").dt.round("s")[0]
-    else:
-        stamp = pd.to_datetime(pd.Series([text], dtype=object), format="mixed", dayfirst=True, errors="coerce")[0]
-    return None if pd.isna(stamp) else stamp.tz_localize(None).strftime("%Y-%m-%d %H:%M:%S.%f")
-
-
-FIXED_DATES = """45321.5|45321|60.25|-1.5|0|120000|150000|-81000|-82000|99999999|20240115|1706616000|1706616000000|1706616000000000
-1706616000000000000|1706616000.1|1706616000123.4|-86400.5|1706616000123456789|9223372036|9223372037|9223372036854775|1e9|1.706616e18
-05/03/2024|13/05/2024|05/13/2024|2024-03-05|2024/03/05|2024/13/05|junk|5-3-2024|5.3.2024 10:30|05 03 2024|05-03-24|24-03-05|99-01-02
-10-11-12|32/1/05|40-5-20|5 Mar 2024|5-Mar-24|5Mar2024|5th March 2024|March 5, 2024|Mar 5 24|2024 Mar 5|2024-03|03/2024|Mar 2024|2024 March
-Mar-24|5 Mar|Tue, 5 Mar 2024|Tue Mar 5 10:30:00 2024|05/03/2024 10:30PM|05/03/2024 12:30 am|05/03/2024, 10:30:00|05/03/2024 13:30 PM
-2024-03-05T10:30:00Z|2024-03-05T10:30:00+05:30|2024-03-05 10:30:00 IST|2024-03-05 10:30 PM|2024-03-05, 10:30|10:30 2024-03-05
-2024-03-05 24:00|2024-03-05 10:60|30/02/2024|00/01/2024|5/3/224|1677-09-21|1677-09-22|2262-04-11|2262-04-12|20240305T103000|20240305 10:30
-5/3/2024 10:30:99|5/3/2024 0 PM|2024-03-05T103000|2024-03-05T10|5 of March 2024|Sept 5, 2024|5 Foo 2024|499 INR|1,000|Q1 2024""".replace("\n", "|").split("|")
+# text = stamp: numbers are days, seconds, milli-, micro- or nanoseconds by their size, texts are day first
+STAMPS = """
+45321.5 = 2024-01-30 12:00:00.000000
+45321 = 2024-01-30 00:00:00.000000
+60.25 = 1900-02-28 06:00:00.000000
+-1.5 = 1899-12-28 12:00:00.000000
+0 = 1899-12-30 00:00:00.000000
+120000 = 2228-07-18 00:00:00.000000
+150000 = none
+-81000 = 1678-03-23 00:00:00.000000
+-82000 = none
+99999999 = none
+20240115 = none
+1706616000 = 2024-01-30 12:00:00.000000
+1706616000000 = 2024-01-30 12:00:00.000000
+1706616000000000 = 2024-01-30 12:00:00.000000
+1706616000000000000 = 2024-01-30 12:00:00.000000
+1706616000.1 = 2024-01-30 12:00:00.099999
+1706616000123.4 = 2024-01-30 12:00:00.123399
+-86400.5 = none
+1706616000123456789 = 2024-01-30 12:00:00.123456
+9223372036 = 2262-04-11 23:47:16.000000
+9223372037 = none
+9223372036854775 = 2262-04-11 23:47:16.854775
+1e9 = 2001-09-09 01:46:40.000000
+1.706616e18 = 2024-01-30 12:00:00.000000
+05/03/2024 = 2024-03-05 00:00:00.000000
+13/05/2024 = 2024-05-13 00:00:00.000000
+05/13/2024 = 2024-05-13 00:00:00.000000
+2024-03-05 = 2024-03-05 00:00:00.000000
+2024/03/05 = 2024-03-05 00:00:00.000000
+2024/13/05 = 2024-05-13 00:00:00.000000
+junk = none
+5-3-2024 = 2024-03-05 00:00:00.000000
+5.3.2024 10:30 = 2024-03-05 10:30:00.000000
+05 03 2024 = 2024-03-05 00:00:00.000000
+05-03-24 = 2024-03-05 00:00:00.000000
+24-03-05 = 2005-03-24 00:00:00.000000
+99-01-02 = 1999-02-01 00:00:00.000000
+10-11-12 = 2012-11-10 00:00:00.000000
+32/1/05 = 2032-05-01 00:00:00.000000
+40-5-20 = 2040-05-20 00:00:00.000000
+5 Mar 2024 = 2024-03-05 00:00:00.000000
+5-Mar-24 = 2024-03-05 00:00:00.000000
+5Mar2024 = 2024-03-05 00:00:00.000000
+5th March 2024 = 2024-03-05 00:00:00.000000
+March 5, 2024 = 2024-03-05 00:00:00.000000
+Mar 5 24 = 2024-03-05 00:00:00.000000
+2024 Mar 5 = 2024-03-05 00:00:00.000000
+2024-03 = 2024-03-01 00:00:00.000000
+03/2024 = 2024-03-01 00:00:00.000000
+Mar 2024 = 2024-03-01 00:00:00.000000
+2024 March = 2024-03-01 00:00:00.000000
+Mar-24 = none
+5 Mar = none
+Tue, 5 Mar 2024 = 2024-03-05 00:00:00.000000
+Tue Mar 5 10:30:00 2024 = 2024-03-05 10:30:00.000000
+05/03/2024 10:30PM = 2024-03-05 22:30:00.000000
+05/03/2024 12:30 am = 2024-03-05 00:30:00.000000
+05/03/2024, 10:30:00 = 2024-03-05 10:30:00.000000
+05/03/2024 13:30 PM = none
+2024-03-05T10:30:00Z = 2024-03-05 10:30:00.000000
+2024-03-05T10:30:00+05:30 = 2024-03-05 10:30:00.000000
+2024-03-05 10:30:00 IST = 2024-05-03 10:30:00.000000
+2024-03-05 10:30 PM = 2024-05-03 22:30:00.000000
+2024-03-05, 10:30 = 2024-05-03 10:30:00.000000
+10:30 2024-03-05 = 2024-05-03 10:30:00.000000
+2024-03-05 24:00 = none
+2024-03-05 10:60 = none
+30/02/2024 = none
+00/01/2024 = none
+5/3/224 = none
+1677-09-21 = none
+1677-09-22 = 1677-09-22 00:00:00.000000
+2262-04-11 = 2262-04-11 00:00:00.000000
+2262-04-12 = none
+20240305T103000 = 2024-03-05 10:30:00.000000
+20240305 10:30 = 2024-03-05 10:30:00.000000
+5/3/2024 10:30:99 = none
+5/3/2024 0 PM = 2024-03-05 12:00:00.000000
+2024-03-05T103000 = 2024-03-05 10:30:00.000000
+2024-03-05T10 = 2024-03-05 10:00:00.000000
+5 of March 2024 = 2024-03-05 00:00:00.000000
+Sept 5, 2024 = 2024-09-05 00:00:00.000000
+5 Foo 2024 = none
+499 INR = none
+1,000 = none
+Q1 2024 = none
+"""
+FIXED_DATES = dict(line.split(" = ") for line in STAMPS.strip().splitlines())
+FIXED_DATES = {text: None if stamp == "none" else stamp for text, stamp in FIXED_DATES.items()}
 
 
 def made_up_dates(n: int) -> list[str]:
@@ -105,19 +172,22 @@ def made_up_dates(n: int) -> list[str]:
 
 
 def test_datetime_column_like_pandas(spark):
-    texts = list(dict.fromkeys(FIXED_DATES + made_up_dates(400)))
+    made = list(dict.fromkeys(made_up_dates(400)))
+    day_first = pd.to_datetime(pd.Series(made, dtype=object), format="mixed", dayfirst=True, errors="coerce")
+    want = FIXED_DATES | {t: None if pd.isna(d) else d.strftime("%Y-%m-%d %H:%M:%S.%f") for t, d in zip(made, day_first)}
+    texts = list(want)
     rows = spark.createDataFrame([(t,) for t in texts], "v string").withColumn("w", F.col("v"))
     for zone in ("UTC", "America/New_York"):
         spark.conf.set("spark.sql.session.timeZone", zone)
         decoded = with_datetime(rows, "w", PIVOT).select("v", datetime_text(F.col("w")).alias("t"))
         got = dict(decoded.collect())
-        assert {t: got[t] for t in texts} == {t: like_pandas(t) for t in texts}
+        assert {t: got[t] for t in texts} == want
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_datetime_expression_equals_column_form(evaluate):
-    got = evaluate(lambda c: datetime_text(normalize_datetime(c, PIVOT)), FIXED_DATES)
-    assert got == [like_pandas(t) for t in FIXED_DATES]
+    got = evaluate(lambda c: datetime_text(normalize_datetime(c, PIVOT)), list(FIXED_DATES))
+    assert got == list(FIXED_DATES.values())
 
 
 def test_wall_clock_survives_daylight_saving(spark):

@@ -223,15 +223,15 @@ def test_stream_loads_only_what_landed(spark, tmp_path):
     assert ids(stored_rows(spark, path)) == ids(stored_rows(spark, str(tmp_path / "once")))
 
 
-def test_stream_reads_only_changed_workbooks(spark, tmp_path, monkeypatch):
+def test_stream_reads_only_changed_workbooks(spark, tmp_path):
     landing = str(tmp_path / "landing")
     landed.write_raw(frame(spark, *(tab(w, "buyers", 0, made_rows(w, 3)) for w in range(4))), landing)
     changed = stage(spark.createDataFrame([("wb1",), ("wb3",)], "source_spreadsheet string"), "changed", measured=True)
-    named = available_now._rows_of(landed.read_raw(spark, landing), changed, LookupLimits())
-    assert "source_spreadsheet" in re.search(r"PartitionFilters: \[(.*?)\]", named._jdf.queryExecution().executedPlan().toString())[1]
-    monkeypatch.setattr(available_now, "MAX_NAMED_WORKBOOKS", 1)
-    joined = available_now._rows_of(landed.read_raw(spark, landing), changed, LookupLimits())
-    assert sorted(map(repr, named.collect())) == sorted(map(repr, joined.collect())) and named.count() == 8
+    pruned = available_now._rows_of(landed.read_raw(spark, landing), changed, LookupLimits())
+    filters = re.search(r"PartitionFilters: \[(.*?)\]", pruned._jdf.queryExecution().executedPlan().toString())[1]
+    assert "source_spreadsheet" in filters and "dynamicpruning" in filters
+    spread = available_now._rows_of(landed.read_raw(spark, landing), changed, LookupLimits(rows=0, salts=3))
+    assert sorted(map(repr, pruned.collect())) == sorted(map(repr, spread.collect())) and pruned.count() == 8
 
 
 def test_relanded_header_does_not_double_rows(spark):
@@ -266,6 +266,63 @@ def test_landed_answers(spark, tmp_path):
         }
 
 
+@pytest.mark.parametrize("stream", [False, True])
+def test_late_headers_and_late_ranges_are_read(spark, tmp_path, stream):
+    """Rows below a header that comes late, and rows that land after later ones of their tab."""
+    landing, path, done = (str(tmp_path / p) for p in ("landing", "target", "done"))
+    whole = [tab(0, "buyers", 0, made_rows(1, 30)), tab(0, "buyers late", 1, made_rows(2, 9))]
+    rows = [r for t in whole for r in t]
+    parts = [
+        [r for r in rows if r[5] not in (1, 3, 4) or (r[4] == 0 and r[5] == 1)],
+        [r for r in rows if r[5] == 3],
+        [r for r in rows if r[5] == 4 or (r[4] == 1 and r[5] == 1)],
+    ]
+    landed_rows = []
+    for part, run in zip(parts, RUNS):
+        if stream:
+            landed.write_raw(frame(spark, part), landing)
+            load_available(spark, landing, path, BUYERS, done, run)
+        else:
+            landed_rows += part
+            loads.load(frame(spark, landed_rows), BUYERS, path, run)
+    loads.load(frame(spark, rows), BUYERS, str(tmp_path / "once"), RUNS[0])
+    assert ids(stored_rows(spark, path)) == ids(stored_rows(spark, str(tmp_path / "once")))
+    assert loads.load(frame(spark, rows), BUYERS, path, RUNS[5]) is None
+
+
+def test_report_of_a_load(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = [tab(0, "buyers", 0, made_rows(1, 9)), tab(0, "buyers 1", 1, made_rows(2, 2), start=2), tab(0, "buyers 2", 2, [])]
+    report = lambda: {r.source_sheet: (r.n_rows, r.last_row, r.new_rows, r.note) for r in target.scan_report(spark, path).collect()}
+    loads.load(frame(spark, *first), BUYERS, path, RUNS[0])
+    assert report() == {"buyers": (10, None, 9, None), "buyers 1": (3, None, 0, "no header"), "buyers 2": (1, None, 0, "no data rows")}
+    loads.load(frame(spark, [r for r in first[0] if r[5] < 5], tab(0, "buyers 3", 3, made_rows(3, 4))), BUYERS, path, RUNS[1])
+    assert report() == {"buyers": (4, 10, 0, "shrunk"), "buyers 3": (5, None, 4, None)}
+
+
+def test_the_last_landing_of_a_row_and_of_a_header_counts(spark):
+    shape = RAW_SCHEMA.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ") + ", landed_seq long"
+    old, new = [["Ann", "a@x", "1", "Old", "45321"]], [["Ann", "a@x", "1", "New", "45321"]]
+    turned = ["Email Address", "Name", "Mobile", "City", "Date"]
+    rows = [(*r, 1) for r in tab(0, "buyers", 0, old, head=turned)] + [(*r, 2) for r in tab(0, "buyers", 0, new)]
+    for n in range(1, 11):
+        random.Random(n).shuffle(rows)
+        (row,) = loads.prepare(spark.createDataFrame(rows, shape).repartition(n), BUYERS, RUNS[0]).collect()
+        assert (row.name, row.email_address, row.city) == ("Ann", "a@x", "New")
+
+
+def test_keep_last_does_not_depend_on_the_partitioning(spark):
+    """Two rows of one place and no landing time."""
+    rows = [r for t in (tab(0, "buyers", 0, [["Ann", "a@x", "1", c, "45321"]]) for c in ("Old", "New")) for r in t]
+    found = {loads.prepare(frame(spark, rows[::d]).repartition(n), BUYERS, RUNS[0]).first().city for n in range(1, 6) for d in (1, -1)}
+    assert len(found) == 1
+
+
+def test_blanks_around_tab_names(spark):
+    rows = frame(spark, tab(0, "Buyers A\u00a0", 0, [["x"]]))
+    assert select_tabs_named(rows, ["buyers a"]).count() == 2
+
+
 def test_unknown_tab_is_an_error(spark):
     rows = frame(spark, tab(0, " Buyers A", 0, [["x"]]))
     assert select_tabs_named(rows, ["buyers a "]).count() == 2
@@ -275,4 +332,5 @@ def test_unknown_tab_is_an_error(spark):
 
 def test_headers_are_cut_to_the_read_width(spark):
     rows = frame(spark, tab(0, "t", 0, [], head=[f"h{i}" for i in range(20)]))
-    assert len(tab_headers(rows).first().headers) == 12
+    assert len(tab_headers(rows, BUYERS.read_width).first().headers) == 12
+    assert len(tab_headers(rows).first().headers) == 20

@@ -45,6 +45,14 @@ def test_asof_lookup(spark, limits):
     assert got == want
 
 
+@pytest.mark.parametrize("limits", [LookupLimits(), SPREAD, DENSE])
+def test_asof_null_keys_match_nothing(spark, limits):
+    left = spark.createDataFrame([(None, 5), ("a", 5)], "t string, r long")
+    right = spark.createDataFrame([(None, 1, "vn"), ("a", 1, "va")], "t string, r long, v string")
+    got = {(x.t, x.r): (x.mark_position, x.v) for x in asof_lookup(left, right, ["t"], "r", limits).collect()}
+    assert got == {(None, 5): (None, None), ("a", 5): (1, "va")}
+
+
 def test_asof_without_marks(spark):
     left = spark.createDataFrame([("a", 1)], "t string, r long")
     right = spark.createDataFrame([], "t string, r long, v string")

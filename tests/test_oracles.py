@@ -3,9 +3,11 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import normal
 from conftest import SF_DIR
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 from workload.raw_tables import TABLES
 
 
@@ -18,18 +20,18 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    result = queries()[name](spark, SF_DIR)
+    result = QUERIES[name](spark, SF_DIR)
     got = normal(result.columns, [tuple(r) for r in result.collect()])
-    cursor = con.execute(oracle_sql()[name])
+    cursor = con.execute(ORACLES[name])
     columns = [d[0] for d in cursor.description]
     assert sorted(result.columns) == sorted(columns)
     assert got and got == normal(columns, cursor.fetchall())

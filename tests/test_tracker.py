@@ -1,7 +1,6 @@
-"""The tracker against a plain sequential reading of the same rules, on random tabs."""
+"""The tracker on tabs with written-out results, and its properties on random tabs."""
 
 import random
-import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,72 +9,7 @@ from sheetloom.operators import layout as lay
 from sheetloom.operators.lookup import LookupLimits
 from sheetloom.plans import tracker
 
-TICKS = {"true", "yes", "y", "1", "✓", "✔", "☑", "false", "no", "n", "0", "☐"}
 SCHEMA = "source_workbook string, source_spreadsheet string, source_sheet string, workbook_ord int, tab_ord int, source_row long, cells array<string>"
-# (pattern over the padded header key, column): the first match counts
-HEADER_RULES = [
-    (r"(?=.* status )(?=.* data )", "status_data"),
-    (r".* status ", "status"),
-    (r".*email|.* mail ", "email"),
-    (r" ph|.*phone|.*mobile|.*whatsapp|.* contact ", "mobile"),
-    (r".*coach", "coach"),
-    (r".* tech ", "tech_member"),
-    (r".*comment|.*remark", "comment"),
-    (r".* silver ", "access_silver_lifetime"),
-    (r"(?=.* gold ).*(lifetime|life time)", "access_gold_pro_lifetime"),
-    (r".* gold ", "access_gold_pro"),
-    (r".* names? ", "name"),
-]
-
-
-def key_of(cell):
-    return " ".join(re.findall("[a-z0-9]+", cell.lower()))
-
-
-def column_of(cell):
-    return next((c for p, c in HEADER_RULES if key_of(cell) and re.match(p, f" {key_of(cell)} ")), None)
-
-
-def texts_of(cells):
-    return [c for c in cells if c and c.lower() not in TICKS]
-
-
-def read_sequentially(rows):
-    """{(sheet, row): (record, section)} of the client rows, read top to bottom."""
-    clients, state = {}, {}
-    for sheet, row, raw in sorted(rows, key=lambda r: (r[0], r[1])):
-        cells = [" ".join(c.split()) for c in raw]
-        now = state.setdefault(sheet, {"layout": None, "section": "MAIN"})
-        if not any(cells):
-            continue
-        if {"name", "email"} <= {column_of(c) for c in cells}:
-            layout, seen = {}, []
-            for i, cell in enumerate(cells):
-                if cell and cell.upper() != now["section"].upper():
-                    column = column_of(cell) or key_of(cell).replace(" ", "_") or f"column_{i + 1}"
-                    if column == "access_gold_pro" and column in seen:
-                        column = "access_gold_pro_lifetime"
-                    seen.append(column)
-                    times = seen.count(column)
-                    layout[i] = column if times == 1 else f"{column}_{times}"
-            own = set(layout.values())
-            inherited = {i: c for i, c in (now["layout"] or {}).items() if i not in layout and c not in own}
-            now["layout"] = layout | inherited
-            continue
-        record = {}
-        if now["layout"] is not None:
-            record = {c: cells[i] if i < len(cells) else "" for i, c in now["layout"].items()}
-            several = len({t.upper() for t in texts_of(cells)}) > 1
-            digits = sum(ch.isdigit() for ch in record.get("mobile", ""))
-            if "@" in record.get("email", "") or digits > 6 or (record.get("name") and several):
-                clients[sheet, row] = (record, now["section"])
-                continue
-        texts = texts_of(cells)
-        if texts and len({t.upper() for t in texts}) == 1 and texts[0].isupper() and re.search("[A-Z]", texts[0]):
-            now["section"] = texts[0]
-    return clients
-
-
 HEADERS = ["NAME", "Full Name", "E MAIL", "email", "Mail", "PH NO.", "Mobile", "COACH", "Status", "GOLD", "Gold", "Silver"]
 HEADERS += ["Agra", "Agra", "REFUNDS", "gold lifetime", "", "", "₹", "comment"]
 VALUES = ["", "", "TRUE", "no", "✓", "ann", "BOB", "A@X.COM", "a@x.com", "12345678", "PH 9876543210", "REFUNDS", "refunds"]
@@ -106,27 +40,76 @@ def as_rows(spark, rows):
     return spark.createDataFrame(data, SCHEMA).repartition(5)
 
 
-@pytest.mark.parametrize("seed, limits", [(1, LookupLimits()), (2, LookupLimits()), (3, LookupLimits(rows=0, block_rows=8, salts=3))])
-def test_parse_like_sequential_reading(spark, seed, limits):
+# One tab: its rows, and what each client row becomes (section, and its filled columns).
+TAB = [
+    (1, ["ann", "a@x.com", "not below a header yet"], None),
+    (2, ["NAME", "E MAIL", "Mobile", "Agra", "Gold", "GOLD", "Gold"], None),
+    (3, ["Ann", "a@x.com", "", "yes", "TRUE", "no", "x"], ("MAIN", "name=Ann email=a@x.com agra=yes access_gold_pro=TRUE access_gold_pro_lifetime=no access_gold_pro_lifetime_2=x")),
+    (4, ["Bob", "", "98765-43", "", "", "", ""], ("MAIN", "name=Bob mobile=98765-43")),
+    (5, ["Cy", "", "12345", "", "", "", ""], ("MAIN", "name=Cy mobile=12345")),
+    (6, ["Dee", "", "", "TRUE", "", "", ""], None),  # one text besides the tick
+    (7, ["", "REFUNDS", "", "REFUNDS"], None),  # a title
+    (8, ["Eve", "", "", "Coach Z"], ("REFUNDS", "name=Eve agra=Coach Z")),
+    (9, ["", "A@B 1234567", "", ""], ("REFUNDS", "email=A@B 1234567")),  # capitals, but an address in the email column
+    (10, ["A@B 1234567", "", "", ""], None),  # the same text elsewhere is a title
+    (11, ["Flo", "f@x", "", ""], ("A@B 1234567", "name=Flo email=f@x")),
+    (12, ["", "", "JAN 9876543210", ""], ("A@B 1234567", "mobile=JAN 9876543210")),  # digits in the mobile column
+    (13, ["", "", "JAN 98", ""], None),
+    (14, ["Email", "JAN 98", "Names", "", "Email"], None),  # a header; the section's title names nothing
+    (15, ["g@x", "no column", "Gil", "by position", "two", "lifetime", "7"], ("JAN 98", "email=g@x name=Gil agra=by position email_2=two access_gold_pro_lifetime=lifetime access_gold_pro_lifetime_2=7")),
+    (16, ["", "", "", ""], None),
+    (17, ["₹", "name", "mail", "Coach"], None),
+    (18, ["5", "Hal", "h@x", "Zoe", "one", "old"], ("JAN 98", "column_1=5 name=Hal email=h@x coach=Zoe email_2=one access_gold_pro_lifetime=old")),
+]
+
+
+def found_in(parsed):
+    found = {}
+    for r in parsed.collect():
+        record = {c: r[c] for c in tracker.HEADER_COLUMNS} | r["extras"]
+        found[r.source_sheet, r.source_row] = (r.section, {c: v for c, v in record.items() if v})
+    return found
+
+
+@pytest.mark.parametrize("limits", [LookupLimits(), LookupLimits(rows=0, block_rows=8, salts=3)])
+def test_a_tab_row_by_row(spark, limits):
+    parsed = tracker.parse_tracker(as_rows(spark, [("Tab0", n, cells) for n, cells, _ in TAB]), limits)
+    found = {n: (section, record) for (_, n), (section, record) in found_in(parsed).items()}
+    want = {}
+    for n, _, result in TAB:
+        if result:
+            words = result[1].replace("=", " = ").split()
+            starts = [k - 1 for k, w in enumerate(words) if w == "="] + [len(words)]
+            want[n] = (result[0], {words[a]: " ".join(words[a + 2 : b]) for a, b in zip(starts, starts[1:])})
+    assert found == want
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_order_of_rows_and_form_of_lookups_do_not_matter(spark, seed):
     pick = random.Random(seed)
     rows = [r for i in range(6) for r in random_tab(pick, f"Tab{i}", 150)]
-    got = {}
-    for r in tracker.parse_tracker(as_rows(spark, rows), limits).collect():
-        record = {c: r[c] for c in tracker.HEADER_COLUMNS} | r["extras"]
-        got[r.source_sheet, r.source_row] = ({c: v for c, v in record.items() if v}, r.section)
-    want = read_sequentially(rows)
-    assert len(want) > 100
-    assert got == {k: ({c: v for c, v in record.items() if v}, s) for k, (record, s) in want.items()}
+    found = found_in(tracker.parse_tracker(as_rows(spark, rows)))
+    assert len(found) > 100
+    pick.shuffle(rows)
+    spread = LookupLimits(rows=0, block_rows=8, salts=3)
+    assert found_in(tracker.parse_tracker(as_rows(spark, rows).repartition(3), spread)) == found
+
+
+def test_no_client_above_the_first_header(spark):
+    pick = random.Random(4)
+    rows = [(s, n, c) for s, n, c in random_tab(pick, "Tab0", 150) if n < 40 or n > 60]
+    rows = [(s, n, [t for t in c if "mail" not in t.lower()]) if n < 60 else (s, n, c) for s, n, c in rows]
+    assert all(n > 60 for _, n in found_in(tracker.parse_tracker(as_rows(spark, rows))))
 
 
 def test_many_titles_in_one_block(spark):
-    """A tab full of title candidates, decisive and not, under one header."""
-    cells = [["", "MONTH %d" % i] if i % 3 else ["", "A@%d" % i] for i in range(500)]
-    rows = [("Tab0", 1, ["NAME", "EMAIL"])] + [("Tab0", i + 2, c) for i, c in enumerate(cells)]
+    """A tab full of title candidates under one header: addresses in the email column are clients."""
+    rows = [("Tab0", 1, ["NAME", "EMAIL"])]
+    rows += [("Tab0", i + 2, ["", f"MONTH {i}"] if i % 3 else ["", f"A@{i}"]) for i in range(500)]
     rows += [("Tab0", 600, ["x", "EMAIL", "MAIL", "NAME"]), ("Tab0", 601, ["", "A@1"]), ("Tab0", 602, ["n", "m"])]
-    parsed = tracker.parse_tracker(as_rows(spark, rows))
-    got = {(r.source_sheet, r.source_row): r.section for r in parsed.collect()}
-    assert got == {k: s for k, (_, s) in read_sequentially(rows).items()}
+    found = {n: section for (_, n), (section, _) in found_in(tracker.parse_tracker(as_rows(spark, rows))).items()}
+    want = {i + 2: f"MONTH {i - 1}" if i else "MAIN" for i in range(0, 500, 3)}
+    assert found == want | {601: "MONTH 499"}
 
 
 @pytest.mark.parametrize(
@@ -151,17 +134,29 @@ def test_is_client_row(spark):
     assert [r.got for r in got] == [r.want for r in got]
 
 
-def test_header_layout():
-    cells = ["Name", "Email", "Gold", "Gold", "Email", "Agra", "Agra"]
-    headers = [(c, column_of(c), key_of(c).replace(" ", "_")) for c in cells]
-    want = ["name", "email", "access_gold_pro", "access_gold_pro_lifetime", "email_2", "agra", "agra_2"]
-    assert lay.header_layout(headers, "MAIN") == dict(enumerate(want))
+def layouts(spark, expression, *arrays):
+    """An expression over arrays of (position, name)."""
+    shape = ", ".join(f"l{k} {lay.LAYOUT_TYPE}" for k in range(len(arrays)))
+    frame = spark.createDataFrame([arrays], shape)
+    return [tuple(e) for e in frame.select(expression(*(F.col(f"l{k}") for k in range(len(arrays)))).alias("r")).first().r]
+
+
+def test_own_layout(spark):
+    cells = ["Name", "", "Email", "Gold", "Gold", "refunds", "Email", "Agra", "Agra", "₹", "Gold"]
+    canonical = ["name", "", "email", "access_gold_pro", "access_gold_pro", None, "email", None, None, None, "access_gold_pro"]
+    snake = ["name", "", "email", "gold", "gold", "refunds", "email", "agra", "agra", "", "gold"]
+    frame = spark.createDataFrame([(cells, canonical, snake, "REFUNDS")], "c array<string>, k array<string>, s array<string>, t string")
+    found = frame.select(lay.own_layout(*(F.col(x) for x in "ckst")).alias("r")).first().r
+    assert [tuple(e) for e in found] == [
+        (0, "name"), (2, "email"), (3, "access_gold_pro"), (4, "access_gold_pro_lifetime"), (6, "email_2"), (7, "agra"),
+        (8, "agra_2"), (9, "column_10"), (10, "access_gold_pro_lifetime_2"),
+    ]
 
 
-def test_merge_layout_inherits_free_positions_and_names():
-    above = {0: "name", 1: "email", 2: "coach", 5: "agra"}
-    assert lay.merge_layout({1: "name", 2: "email"}, above) == {1: "name", 2: "email", 5: "agra"}
-    assert lay.merge_layout({1: "name"}, {}) == {1: "name"}
+def test_a_layout_inherits_free_positions_and_names(spark):
+    above = [(0, "name"), (1, "email"), (2, "coach"), (5, "agra"), (6, "agra")]
+    assert layouts(spark, lay.inherit, [(1, "name"), (2, "email")], above) == [(1, "name"), (2, "email"), (5, "agra")]
+    assert layouts(spark, lay.inherit, [(1, "name")], []) == [(1, "name")]
 
 
 def test_clients_and_inferred_columns(spark):

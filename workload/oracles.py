@@ -100,13 +100,13 @@ def prepared_ctes(spec: DatasetSpec, run: str = q.FIRST_RUN) -> list[str]:
     return [RAW_CTE[spec.name], *clean_ctes(spec, f"{spec.name}_raw", "cleaned", run), newest("cleaned", "prepared")]
 
 
-def two_load_ctes(spec: DatasetSpec) -> list[str]:
-    raw = f"{spec.name}_raw"
-    half = f"(SELECT max(source_row) / 2 FROM {raw})"
+def two_load_ctes(spec: DatasetSpec, second: str = "source_row > most / 2") -> list[str]:
+    """``merged``: the rows of ``second`` come with the second load."""
+    raw = f"(SELECT *, (SELECT max(source_row) FROM {spec.name}_raw) AS most FROM {spec.name}_raw)"
     return [
         RAW_CTE[spec.name],
-        f"raw1 AS (SELECT * FROM {raw} WHERE source_row <= {half})",
-        f"raw2 AS (SELECT * FROM {raw} WHERE source_row > {half})",
+        f"raw1 AS (SELECT * EXCLUDE (most) FROM {raw} WHERE NOT ({second}))",
+        f"raw2 AS (SELECT * EXCLUDE (most) FROM {raw} WHERE {second})",
         *clean_ctes(spec, "raw1", "clean1", q.FIRST_RUN),
         *clean_ctes(spec, "raw2", "clean2", q.SECOND_RUN),
         "both_loads AS (SELECT *, 0 AS load_seq FROM clean1 UNION ALL BY NAME SELECT *, 1 AS load_seq FROM clean2)",
@@ -179,7 +179,7 @@ SELECT k, string_agg(CASE WHEN times = 1 THEN name ELSE name || '_' || times END
 O["rectangularize"] = with_(
     LEADS_CTE,
     "cut AS (SELECT *, list_concat(cells, ['more', 'cells'])[1:CAST(source_row % 11 + 1 AS INTEGER)] AS part FROM leads_raw"
-    f" WHERE source_row > 1 AND {LEADS_TABS})",
+    " WHERE source_row > 1)",
     select=f"SELECT {ROW}, array_to_string(list_transform(range(1, 10), lambda i: coalesce(part[i], '')), '|') AS cells_text,"
     " coalesce(part[8], '') AS utm_source FROM cut",
 )
@@ -194,33 +194,31 @@ BY_HEADER = (
     " cells[6] AS registration_date, cells[7] AS amount, cells[8] AS utm_source"
 )
 LEADS_DATA = f"leads_data AS (SELECT * FROM leads_raw WHERE source_row > 1 AND {LEADS_TABS})"
-O["drop_columns"] = with_(LEADS_CTE, LEADS_DATA, select=f"SELECT {BY_HEADER}, {ROW} FROM leads_data")
+ALL_DATA = "leads_data AS (SELECT * FROM leads_raw WHERE source_row > 1)"
+
+
+def each_header(expression: str) -> str:
+    """An expression of each of the nine columns; {0} is its cell."""
+    return ", ".join(f"{expression.format(f'cells[{i + 1}]')} AS {name}" for i, name in enumerate(q.HEADER_NAMES))
+
+
+O["drop_columns"] = with_(LEADS_CTE, ALL_DATA, select=f"SELECT {BY_HEADER}, {ROW} FROM leads_data")
 O["blank_to_null"] = with_(
-    LEADS_CTE,
-    LEADS_DATA,
-    select=f"SELECT {BY_HEADER}, cells[9] AS tag, {ROW} FROM leads_data".replace(
-        "cells[2] AS", "CASE WHEN trim(cells[2]) <> '' THEN cells[2] END AS"
-    )
-    .replace("cells[3] AS", "nullif(cells[3], '') AS")
-    .replace("cells[5] AS", "nullif(cells[5], '') AS")
-    .replace("cells[7] AS", "nullif(cells[7], '') AS"),
-)
+    LEADS_CTE, ALL_DATA,
+    select=f"SELECT {each_header("CASE WHEN trim({0}) <> '' THEN {0} END")}, {ROW} FROM leads_data",
+)
 O["drop_blank_rows"] = with_(
     LEADS_CTE, LEADS_DATA,
     select=f"SELECT cells[1] AS name, cells[6] AS registration_date, {ROW} FROM leads_data WHERE source_row % 23 <> 0",
 )
 O["add_missing_columns"] = with_(
-    LEADS_CTE, LEADS_DATA,
+    LEADS_CTE, ALL_DATA,
     select="SELECT cells[1] AS name, cells[2] AS email_address, CAST(NULL AS BIGINT) AS age, CAST(NULL AS DOUBLE) AS amount,"
     " CAST(NULL AS VARCHAR) AS workshop_date, CAST(NULL AS VARCHAR) AS utm_medium, CAST(NULL AS VARCHAR) AS record_id,"
     f" {ROW} FROM leads_data",
 )
 O["conform_schema"] = with_(*prepared_ctes(LEADS), select=stored(LEADS, "cleaned"))
-O["trim_strings"] = with_(
-    LEADS_CTE, LEADS_DATA,
-    select="SELECT trim(cells[1]) AS name, trim(cells[2]) AS email_address, trim(cells[3]) AS mobile, trim(cells[4]) AS city,"
-    f" trim(cells[8]) AS utm_source, {ROW} FROM leads_data",
-)
+O["trim_strings"] = with_(LEADS_CTE, ALL_DATA, select=f"SELECT {each_header('trim({0})')}, {ROW} FROM leads_data")
 
 # ---- scalar functions ----------------------------------------------------------------------
 
@@ -396,9 +394,7 @@ O["status_counts"] = with_(
 
 _LAST = "SELECT source_spreadsheet, source_sheet, CAST(max(source_row) AS BIGINT) AS last_row"
 _TAB = "GROUP BY source_spreadsheet, source_sheet"
-O["checkpoint"] = with_(
-    *two_load_ctes(LEADS), newest("clean1", "prepared1"), select=f"{_LAST} FROM prepared1 {_TAB}"
-)
+O["checkpoint"] = with_(*prepared_ctes(LEADS), select=f"{_LAST} FROM prepared {_TAB}")
 O["incremental_filter"] = with_(
     LEADS_CTE,
     BLANK_BELOW,
@@ -434,6 +430,22 @@ O["union_all"] = with_(
     " SELECT name, city, CAST(NULL AS BIGINT), record_id, 1 FROM b",
 )
 O["dedup_keep_last"] = with_(*prepared_ctes(LEADS), select=f"SELECT record_id, row_hash, {ROW} FROM prepared")
+O["dedup_relanded_rows"] = with_(
+    BUYERS_CTE,
+    "edited AS (SELECT * REPLACE (CASE WHEN source_row > 1 AND source_row % 5 = 0 THEN list_concat(cells[1:3], ['Relanded'],"
+    " cells[5:]) ELSE cells END AS cells) FROM buyers_raw)",
+    *clean_ctes(BUYERS, "edited", "cleaned", q.FIRST_RUN),
+    newest("cleaned", "prepared"),
+    select=stored(BUYERS, "prepared"),
+)
+O["incremental_late_header"] = with_(*two_load_ctes(BUYERS, "tab_ord = 1"), select=stored(BUYERS, "merged"))
+O["incremental_late_range"] = with_(*two_load_ctes(BUYERS, q.LATE_RANGE), select=stored(BUYERS, "merged"))
+O["load_report"] = with_(
+    BUYERS_CTE,
+    select="SELECT source_spreadsheet, source_sheet, CAST(max(source_row) AS BIGINT) AS n_rows, CAST(NULL AS BIGINT) AS last_row,"
+    " CASE WHEN min(tab_ord) = 1 THEN 0 ELSE count(*) FILTER (source_row > 1) END AS new_rows,"
+    f" CASE WHEN min(tab_ord) = 1 THEN 'no header' END AS note FROM buyers_raw WHERE {BUYERS_TABS} {_TAB}",
+)
 O["merge_upsert"] = with_(*two_load_ctes(BUYERS), select=stored(BUYERS, "merged"))
 O["row_counts"] = with_(
     LEADS_CTE, LEADS_DATA, select=f"SELECT source_spreadsheet, source_sheet, count(*) AS n FROM leads_data {_TAB}"

@@ -56,7 +56,7 @@ def cleaned(spark: SparkSession, sf: str, spec: DatasetSpec) -> DataFrame:
 
 
 def first_half(rows: DataFrame) -> DataFrame:
-    """Rows of the first load: the upper half of every tab."""
+    """Rows of the first load: those up to half of the largest row number of all tabs."""
     half = rows.agg((F.max("source_row") / 2).alias("half"))
     return rows.where(F.col("source_row") <= half.scalar())
 
@@ -168,7 +168,7 @@ def _(spark, sf):
 def blank_first_cell_below(rows: DataFrame) -> DataFrame:
     """The last rows of the first tab of each workbook have nothing in column A."""
     last = rows.agg((F.max("source_row") - 20).alias("last"))
-    rest = F.concat(F.split(F.lit(""), ","), F.slice("cells", 2, 100))
+    rest = F.concat(F.split(F.lit(""), ","), F.slice("cells", F.lit(2), F.greatest(F.size("cells"), F.lit(1))))
     is_last = (F.col("tab_ord") == 0) & (F.col("source_row") > last.scalar())
     return rows.withColumn("cells", F.when(is_last, rest).otherwise(F.col("cells")))
 
@@ -229,7 +229,7 @@ def ragged(rows: DataFrame) -> DataFrame:
 
 @query("rectangularize")
 def _(spark, sf):
-    rows = tabs.filter_tabs(ragged(raw(spark, sf, "leads_raw")), LEADS)
+    rows = ragged(raw(spark, sf, "leads_raw"))
     heads = stage(tabs.tab_headers(rows), "headers")
     data = loads.lookup_join(rows.where("source_row > 1"), heads, tabs.KEYS)
     cells = shape.rectangular_cells(F.col("cells"), F.col("headers"))
@@ -255,14 +255,16 @@ def _(spark, sf):
     return declared(spark, sf, BUYERS).select(*BUYERS.business_columns, *ROW)
 
 
+HEADER_NAMES = "name email_address mobile city age registration_date amount utm_source tag".split()
+
+
 def leads_by_header(spark: SparkSession, sf: str) -> DataFrame:
-    """Leads with every header of their tabs as a text column."""
-    rows = tabs.filter_tabs(raw(spark, sf, "leads_raw"), LEADS)
+    """The rows of all tabs with every header as a text column."""
+    rows = raw(spark, sf, "leads_raw")
     heads = stage(tabs.tab_headers(rows), "headers")
     data = loads.lookup_join(rows.where("source_row > 1"), heads, tabs.KEYS)
-    names = "name email_address mobile city age registration_date amount utm_source tag".split()
     cells = data.withColumn("named", shape.named_cells(F.col("cells"), F.col("headers")))
-    return cells.select(*(F.element_at("named", n).alias(n) for n in names), *ROW)
+    return cells.select(*(F.element_at("named", n).alias(n) for n in HEADER_NAMES), *ROW)
 
 
 @query("drop_columns")
@@ -272,7 +274,7 @@ def _(spark, sf):
 
 @query("blank_to_null")
 def _(spark, sf):
-    return shape.blanks_to_null(leads_by_header(spark, sf), ["email_address", "mobile", "age", "amount", "name"])
+    return shape.blanks_to_null(leads_by_header(spark, sf), HEADER_NAMES)
 
 
 @query("drop_blank_rows")
@@ -296,8 +298,7 @@ def _(spark, sf):
 
 @query("trim_strings")
 def _(spark, sf):
-    texts = ["name", "email_address", "mobile", "city", "utm_source"]
-    return shape.trim_strings(leads_by_header(spark, sf), texts).select(*texts, *ROW)
+    return shape.trim_strings(leads_by_header(spark, sf), HEADER_NAMES)
 
 
 # ---- scalar functions ----------------------------------------------------------------------
@@ -552,7 +553,7 @@ def _(spark, sf):
 
 @query("checkpoint")
 def _(spark, sf):
-    return checkpoint(loads.prepare(first_half(raw(spark, sf, "leads_raw")), LEADS, FIRST_RUN))
+    return checkpoint(loads.prepare(raw(spark, sf, "leads_raw"), LEADS, FIRST_RUN))
 
 
 @query("incremental_filter")
@@ -590,6 +591,15 @@ def _(spark, sf):
     return dedup_keep_last(cleaned(spark, sf, LEADS)).select("record_id", "row_hash", *ROW)
 
 
+@query("dedup_relanded_rows")
+def _(spark, sf):
+    """Every fifth row is landed again with another city; the later landing counts."""
+    rows = raw(spark, sf, "buyers_raw").withColumn("landed_seq", F.lit(1))
+    edited = F.transform("cells", lambda c, i: F.when(i == 3, "Relanded").otherwise(c))
+    again = rows.where("source_row > 1 and source_row % 5 = 0").withColumns({"cells": edited, "landed_seq": F.lit(2)})
+    return shape.conform_schema(loads.prepare(again.unionByName(rows), BUYERS, FIRST_RUN), BUYERS)
+
+
 def two_loads(spark: SparkSession, sf: str, spec: DatasetSpec) -> tuple[DataFrame, DataFrame]:
     rows = raw_of(spark, sf, spec)
     headers = stage(tabs.tab_headers(tabs.filter_tabs(rows, spec)), "headers")
@@ -652,6 +662,37 @@ def _incremental(spec):
     return run
 
 
+def _late(condition: str):
+    """Two loads; the rows of ``condition`` land, or can be read, only with the second."""
+
+    def run(spark, sf):
+        path = scratch_path(spark, "late_target")
+        rows = stage(raw(spark, sf, "buyers_raw"), "raw")
+        most = rows.agg(F.max("source_row").alias("most")).scalar()
+        late = rows.withColumn("most", most).where(f"not ({condition})").drop("most")
+        loads.load(late, BUYERS, path, FIRST_RUN)
+        loads.load(rows, BUYERS, path, SECOND_RUN)
+        if loads.load(rows, BUYERS, path, "2024-03-01 00:00:00") is not None:
+            raise AssertionError("a load without new rows must leave the target as it is")
+        return target.scan_target(spark, path, BUYERS)
+
+    return run
+
+
+# the header of a tab comes late; a range in the middle of all tabs comes late
+LATE_RANGE = "source_row > most / 4 and source_row <= most / 2"
+QUERIES["incremental_late_header"] = _late("tab_ord = 1 and source_row = 1")
+QUERIES["incremental_late_range"] = _late(LATE_RANGE)
+
+
+@query("load_report")
+def _(spark, sf):
+    path = scratch_path(spark, "reported")
+    rows = raw(spark, sf, "buyers_raw").where("not (tab_ord = 1 and source_row = 1)")
+    loads.full_load(rows, BUYERS, path, FIRST_RUN)
+    return target.scan_report(spark, path)
+
+
 def _stream(spec):
     def run(spark, sf):
         path, landing, done = (scratch_path(spark, f"stream_{part}_{spec.name}") for part in ("target", "landing", "done"))
