@@ -28,8 +28,8 @@ from sheetloom.operators.shape import (
     project_declared,
 )
 from sheetloom.operators.tabs import KEYS, filter_tabs, header_positions, tab_headers, tab_row_count
-from sheetloom.session import stage, staged_size
-from sheetloom.sources.target import scan_marks, scan_target, target_exists, target_info, write_target
+from sheetloom.session import scratch_scope, stage, staged_size
+from sheetloom.sources.target import expire_versions, scan_marks, scan_target, target_exists, target_info, write_target
 from sheetloom.spec import LINEAGE_COLUMNS, ORDER_COLUMNS, DatasetSpec
 
 
@@ -176,11 +176,21 @@ def load(
     path: str,
     ingested_at: datetime.datetime | str | None = None,
     limits: LookupLimits = DEFAULT_LIMITS,
+    keep_versions: int = 3,
 ) -> int | None:
-    """Full load if nothing was published yet, otherwise incremental load."""
-    if target_exists(rows.sparkSession, path):
-        return incremental_load(rows, spec, path, ingested_at, limits=limits)
-    return full_load(rows, spec, path, ingested_at, limits)
+    """Full load if nothing was published yet, otherwise incremental load.
+
+    What was staged on the way is deleted, and so are all but the newest ``keep_versions`` versions of the target: a
+    reader of a version has until the third load after it.
+    """
+    spark = rows.sparkSession
+    with scratch_scope(spark):
+        if target_exists(spark, path):
+            loaded = incremental_load(rows, spec, path, ingested_at, limits=limits)
+        else:
+            loaded = full_load(rows, spec, path, ingested_at, limits)
+    expire_versions(spark, path, keep_versions)
+    return loaded
 
 
 def adopt_target(spark, parquet: str, path: str, spec: DatasetSpec) -> int:

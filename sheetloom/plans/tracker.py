@@ -79,10 +79,11 @@ def parse_tracker(rows: DataFrame, limits: LookupLimits = DEFAULT_LIMITS) -> Dat
     return records.where(client).drop("cells")
 
 
-def extra_columns(parsed: DataFrame) -> list[str]:
+def extra_columns(parsed: DataFrame, most: int = 1000) -> list[str]:
     """Names of the other headers, in the order in which client rows first show them.
 
-    One name per output column reaches the driver. Rows are first reduced to one per block, with
+    Each becomes a column, so their number is bounded: more than ``most`` are an error, and :func:`build_clients` then
+    takes a list of those wanted. Rows are first reduced to one per block, with
     partial aggregation, so nothing row-sized is exploded or moved.
     """
     blocks = parsed.groupBy("tab_ord", *KEYS, "header_row").agg(
@@ -90,7 +91,10 @@ def extra_columns(parsed: DataFrame) -> list[str]:
     )
     seen = blocks.select("tab_ord", "first_row", F.posexplode("names").alias("at", "name"))
     first = seen.groupBy("name").agg(F.min(F.struct("tab_ord", "first_row", "at")).alias("first"))
-    return [r["name"] for r in first.orderBy("first").select("name").collect()]
+    names = [r["name"] for r in first.orderBy("first").select("name").limit(most + 1).collect()]
+    if len(names) > most:
+        raise ValueError(f"the trackers have {first.count()} other headers, more than {most}: name the ones wanted")
+    return names
 
 
 def bool_column_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -141,13 +145,13 @@ def text_clients(parsed: DataFrame, extras: Sequence[str]) -> DataFrame:
     return clients.withColumns(named) if named else clients
 
 
-def build_clients(parsed: DataFrame) -> DataFrame:
-    """The client table: core columns, other columns, lineage.
+def build_clients(parsed: DataFrame, extras: Sequence[str] | None = None) -> DataFrame:
+    """The client table: core columns, other columns (``extras``, by default all of them), lineage.
 
     Its schema depends on the data, so two small results reach the driver: the other columns' names and
     which columns hold tick words only. ``parsed`` should be staged, or cheap to run again.
     """
-    extras = extra_columns(parsed)
+    extras = extra_columns(parsed) if extras is None else list(extras)
     clients = text_clients(parsed, extras)
     ticks = infer_bool_columns(clients, text_columns(extras))
     clients = clients.withColumns({c: to_bool(F.col(f"`{c}`")) for c in ticks}) if ticks else clients

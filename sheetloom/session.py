@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 _LOCAL_SCRATCH: dict[str, str] = {}
+_TO_DELETE_AT_EXIT: set[str] = set()
+_STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
 def get_spark(app_name: str = "sheetloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -47,9 +52,38 @@ def scratch_dir(spark: SparkSession) -> str:
     return _LOCAL_SCRATCH[app]
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and its file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below :func:`scratch_dir`."""
-    return f"{scratch_dir(spark)}/sheetloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below :func:`scratch_dir`. The application's scratch folder goes when the application ends."""
+    folder = f"{scratch_dir(spark)}/sheetloom/{spark.sparkContext.applicationId}"
+    if folder not in _TO_DELETE_AT_EXIT:
+        _TO_DELETE_AT_EXIT.add(folder)
+        p, fs = hadoop_path(spark, folder)
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+    return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted at the end, when no result that reads them may be in use any more."""
+    if _STAGED.get() is not None:  # the outer scope deletes them
+        yield
+        return
+    paths: list[str] = []
+    token = _STAGED.set(paths)
+    try:
+        yield
+    finally:
+        _STAGED.reset(token)
+        for path in paths:
+            p, fs = hadoop_path(spark, path)
+            fs.delete(p, True)
 
 
 @dataclass(frozen=True)
@@ -74,6 +108,8 @@ def stage(df: DataFrame, name: str, measured: bool = False) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if (staged_here := _STAGED.get()) is not None:
+        staged_here.append(path)
     seen = Observation()
     wanted = [F.count(F.lit(1)).alias("rows")]
     if measured:

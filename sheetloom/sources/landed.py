@@ -139,28 +139,6 @@ def scan_tab_formatted(
     return scan_tabs(spark, path, tabs, lines=lines, limits=limits)
 
 
-def land_rows(rows: DataFrame, path: str, rows_per_range: int = 5000) -> None:
-    """Write raw rows as values answers, one bounded range of consecutive rows per line."""
-    chunk = F.floor((F.col("source_row") - 1) / rows_per_range).alias("__chunk")
-    ordered = F.array_sort(F.collect_list(F.struct("source_row", "cells")))
-    lines = rows.groupBy("source_spreadsheet", "source_sheet", chunk).agg(
-        F.min("source_row").alias("first"), F.max("source_row").alias("last"), ordered.alias("numbered")
-    )
-    by_row = F.map_from_entries("numbered")
-    with_gaps = F.transform(
-        F.sequence("first", "last"),
-        lambda r: F.coalesce(F.element_at(by_row, r), F.array().cast("array<string>")),
-    )
-    complete = F.size("numbered") == F.col("last") - F.col("first") + 1
-    filled = F.when(complete, F.col("numbered.cells")).otherwise(with_gaps)
-    quoted = F.concat(F.lit("'"), F.replace("source_sheet", F.lit("'"), F.lit("''")), F.lit("'"))
-    range_ = F.concat(quoted, F.lit("!A"), F.col("first").cast("string"), F.lit(":"), F.col("last").cast("string"))
-    answer = F.struct(range_.alias("range"), filled.alias("values"))
-    lines.select(
-        F.col("source_spreadsheet").alias("spreadsheetId"), F.array(answer).alias("valueRanges")
-    ).write.json(path)
-
-
 def write_raw(rows: DataFrame, path: str, mode: str = "append") -> None:
     """Land raw rows as Parquet, one folder per workbook: row and workbook filters reach the scan."""
     rows.write.mode(mode).partitionBy("source_spreadsheet").parquet(path)

@@ -16,19 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sheetloom.operators.quality import validate
 from sheetloom.operators.shape import conform_schema
+from sheetloom.session import hadoop_path
 from sheetloom.spec import DatasetSpec
 
 PUBLISHED = "_published"
 
 
-def _hadoop(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def _numbered(spark: SparkSession, path: str, prefix: str, suffix: str = "") -> list[int]:
     """Sorted numbers ``n`` of the entries ``{prefix}n{suffix}`` of a folder."""
-    p, fs = _hadoop(spark, path)
+    p, fs = hadoop_path(spark, path)
     if not fs.exists(p):
         return []
     names = (status.getPath().getName() for status in fs.listStatus(p))
@@ -42,8 +38,8 @@ def _published(spark: SparkSession, path: str) -> list[int]:
 
 def _publish(spark: SparkSession, path: str, version: int, content: dict) -> None:
     """The file appears whole, by a rename that does not replace."""
-    draft, fs = _hadoop(spark, f"{path}/{PUBLISHED}/.draft-{uuid.uuid4().hex}")
-    final, _ = _hadoop(spark, f"{path}/{PUBLISHED}/{version}.json")
+    draft, fs = hadoop_path(spark, f"{path}/{PUBLISHED}/.draft-{uuid.uuid4().hex}")
+    final, _ = hadoop_path(spark, f"{path}/{PUBLISHED}/{version}.json")
     stream = fs.create(draft, False)
     try:
         stream.write(json.dumps(content).encode())
@@ -63,7 +59,7 @@ def target_info(spark: SparkSession, path: str) -> dict:
     versions = _published(spark, path)
     if not versions:
         raise FileNotFoundError(f"no published dataset at {path}")
-    p, fs = _hadoop(spark, f"{path}/{PUBLISHED}/{versions[-1]}.json")
+    p, fs = hadoop_path(spark, f"{path}/{PUBLISHED}/{versions[-1]}.json")
     stream = fs.open(p)
     try:
         text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
@@ -128,6 +124,6 @@ def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
     old = [v for v in _numbered(spark, path, "v=") if kept and v < kept[0]]
     for v in old:
         for name in (f"{PUBLISHED}/{v}.json", f"v={v}"):
-            p, fs = _hadoop(spark, f"{path}/{name}")
+            p, fs = hadoop_path(spark, f"{path}/{name}")
             fs.delete(p, True)
     return old

@@ -2,6 +2,7 @@
 
 import random
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from sheetloom.operators.quality import ValidationError, validate
 from sheetloom.operators.shape import conform_schema
 from sheetloom.operators.tabs import select_tabs_named, tab_headers
 from sheetloom.plans import loads
-from sheetloom.session import stage, staged_size
+from sheetloom.session import scratch_path, stage, staged_size
 from sheetloom.sources import landed, target
 from sheetloom.spec import BUYERS, LEADS, RAW_SCHEMA
 from sheetloom.streaming import available_now
@@ -323,6 +324,17 @@ def test_blanks_around_tab_names(spark):
     assert select_tabs_named(rows, ["buyers a"]).count() == 2
 
 
+def test_a_load_leaves_no_scratch_and_few_versions(spark, tmp_path):
+    path, whole = str(tmp_path / "t"), tab(0, "buyers", 0, made_rows(1, 30))
+    here = Path(scratch_path(spark, "x")).parent
+    before = set(here.iterdir())
+    for n, run in zip((5, 10, 15, 20, 30), RUNS):
+        loads.load(frame(spark, whole[:n]), BUYERS, path, run)
+    assert set(here.iterdir()) == before
+    assert sorted(p.name for p in Path(path).glob("v=*")) == ["v=3", "v=4", "v=5"]
+    assert ids(stored_rows(spark, path)) and target.target_info(spark, path)["version"] == 5
+
+
 def test_unknown_tab_is_an_error(spark):
     rows = frame(spark, tab(0, " Buyers A", 0, [["x"]]))
     assert select_tabs_named(rows, ["buyers a "]).count() == 2

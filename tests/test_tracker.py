@@ -171,6 +171,16 @@ def test_clients_and_inferred_columns(spark):
     assert (first["name"], first["email"], first["agra"], first["is_active"]) == ("Mary-Jane O'Neil", "ab@x.com", True, True)
 
 
+def test_the_width_of_the_client_table_is_bounded(spark):
+    head = ["NAME", "EMAIL", *(f"Head {k}" for k in range(1200))]
+    parsed = tracker.parse_tracker(as_rows(spark, [("Tab0", 1, head), ("Tab0", 2, ["ann", "a@x", "0", "1"])]))
+    with pytest.raises(ValueError, match="1200"):
+        tracker.build_clients(parsed)
+    clients = tracker.build_clients(parsed, ["head_1"])
+    assert clients.columns == [*tracker.CORE_COLUMNS, "head_1", *tracker.META_COLUMNS]
+    assert clients.first().head_1 is True
+
+
 def test_no_clients(spark):
     clients = tracker.tracker_clients(as_rows(spark, [("Tab0", 1, ["JUST A TITLE"])]))
     assert clients.count() == 0 and clients.columns == [*tracker.CORE_COLUMNS, *tracker.META_COLUMNS]

@@ -20,7 +20,7 @@ from sheetloom.session import scratch_path, stage
 from sheetloom.sources import landed, target
 from sheetloom.spec import BUYERS, LEADS, DatasetSpec
 from sheetloom.streaming.available_now import load_available
-from workload.raw_tables import raw, spark_sql, table
+from workload.raw_tables import land_rows, raw, spark_sql, table
 
 FIRST_RUN = "2024-01-01 00:00:00"
 SECOND_RUN = "2024-02-01 00:00:00"
@@ -80,7 +80,7 @@ def widened(rows: DataFrame) -> DataFrame:
 def landed_tabs(spark: SparkSession, rows: DataFrame, name: str) -> tuple[str, str]:
     """Land rows as JSON lines; returns the paths of the values and the workbook answers."""
     values, books = scratch_path(spark, f"{name}_values"), scratch_path(spark, f"{name}_books")
-    landed.land_rows(rows, values, rows_per_range=1000)
+    land_rows(rows, values, rows_per_range=1000)
     listing = rows.select("source_workbook", "source_spreadsheet", "tab_ord", "source_sheet").distinct()
     answers = listing.groupBy("source_spreadsheet", "source_workbook").agg(
         F.array_sort(F.collect_list(F.struct("tab_ord", "source_sheet"))).alias("t")

@@ -7,7 +7,7 @@ empty sheet rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SPARK = {
     "days": "datediff(CAST(o_orderdate AS DATE), DATE '1970-01-01')",
@@ -107,14 +107,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spark_sql(spark: SparkSession, sf_dir: str, text: str, *tables: str) -> DataFrame:
     """Run a SQL text over test tables; the first one is the largest.
 
-    If that one comes in fewer splits than there are cores it is spread first, so that one small
-    file does not bind all later row work to one task. Real inputs have more splits than cores.
+    With the setting ``sheetloom.workload.spread`` (of the bench) that one is spread over all cores first, so that
+    one small file does not bind all later row work to one task. Real inputs have more splits than cores.
     """
-    cores = spark.sparkContext.defaultParallelism
+    spread = spark.conf.get("sheetloom.workload.spread", "false") == "true"
     for name in tables:
         rows = table(spark, sf_dir, name)
-        if name == tables[0] and rows.rdd.getNumPartitions() < cores:
-            rows = rows.repartition(cores, rows.columns[0])
+        if spread and name == tables[0]:
+            rows = rows.repartition(spark.sparkContext.defaultParallelism, rows.columns[0])
         rows.createOrReplaceTempView(name)
     return spark.sql(text)
 
@@ -125,6 +125,28 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark_sql(spark, sf_dir, TEXTS[name].format(**SPARK), *tables)
 
 
+def land_rows(rows: DataFrame, path: str, rows_per_range: int = 5000) -> None:
+    """Write raw rows as values answers, one bounded range of consecutive rows per line."""
+    chunk = F.floor((F.col("source_row") - 1) / rows_per_range).alias("__chunk")
+    ordered = F.array_sort(F.collect_list(F.struct("source_row", "cells")))
+    lines = rows.groupBy("source_spreadsheet", "source_sheet", chunk).agg(
+        F.min("source_row").alias("first"), F.max("source_row").alias("last"), ordered.alias("numbered")
+    )
+    by_row = F.map_from_entries("numbered")
+    with_gaps = F.transform(
+        F.sequence("first", "last"),
+        lambda r: F.coalesce(F.element_at(by_row, r), F.array().cast("array<string>")),
+    )
+    complete = F.size("numbered") == F.col("last") - F.col("first") + 1
+    filled = F.when(complete, F.col("numbered.cells")).otherwise(with_gaps)
+    quoted = F.concat(F.lit("'"), F.replace("source_sheet", F.lit("'"), F.lit("''")), F.lit("'"))
+    range_ = F.concat(quoted, F.lit("!A"), F.col("first").cast("string"), F.lit(":"), F.col("last").cast("string"))
+    answer = F.struct(range_.alias("range"), filled.alias("values"))
+    lines.select(
+        F.col("source_spreadsheet").alias("spreadsheetId"), F.array(answer).alias("valueRanges")
+    ).write.json(path)
+
+
 def duckdb_cte(name: str) -> str:
     """``name AS (...)`` for a DuckDB ``WITH`` clause."""
     return f"{name} AS ({TEXTS[name].format(**DUCKDB)})"
