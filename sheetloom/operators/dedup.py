@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from sheetloom.operators.lookup import DEFAULT_LIMITS, LookupLimits, fits_broadcast
+from sheetloom.session import staged_size
 from sheetloom.spec import ORDER_COLUMNS
 
 
@@ -55,7 +56,8 @@ def merge_upsert(
         return dedup_keep_last(union_all(existing, new), key).select(*columns)
     latest = new if new_unique else dedup_keep_last(new, key)
     ids = latest.select(key)
-    if fits_broadcast(ids, limits):
+    size = staged_size(latest)
+    if fits_broadcast(ids if size is None or size.bytes is None else latest, limits):
         ids = F.broadcast(ids)
     kept = existing.join(ids, key, "left_anti").select(*columns)
     return kept.unionByName(latest.select(*columns))

@@ -161,7 +161,7 @@ def incremental_load(
     used = stage(used.select(*KEYS, F.greatest("n_rows", F.coalesce("last_row", F.lit(0))).alias("n_rows")), "used", measured=True)
     added = lookup_join(waiting, used, KEYS, limits=limits).where("source_row <= n_rows").drop("n_rows")
     prepared = prepare(added, spec, ingested_at, headers, limits)
-    new = stage(conform_schema(prepared, spec), "new_rows")
+    new = stage(conform_schema(prepared, spec), "new_rows", measured=True)
     if staged_size(new).rows == 0:
         return None
     unique = bool(target_info(spark, path).get("unique_ids"))
