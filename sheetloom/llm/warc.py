@@ -168,26 +168,28 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return pieces.mapInArrow(_parsed, _RECORD)
 
 
+_RESPONSE = ("type", "uri", "date", "http_head", "payload", "payload_bytes", "payload_digest", "refers_to")
+
+
 def assemble(records: DataFrame) -> DataFrame:
     """One row per capture: capture_id, nested response, requests and metadata.
 
-    Requests and metadata join the response or revisit that they are concurrent to. A capture without a response has a
-    null response; a capture without requests or metadata has empty arrays.
+    Requests and metadata join the response or revisit that they are concurrent to, all in one aggregate by the response's
+    id. A capture without a response has a null response; one without requests or metadata has empty arrays. Fields
+    that are not asked for are not moved.
     """
-    main = records.where("type IN ('response', 'revisit')")
-    main = main.select(
-        F.col("record_id").alias("capture_id"),
-        F.struct("type", "uri", "date", "http_head", "payload", "payload_bytes", "payload_digest", "refers_to").alias("response"),
-    )
-    beside = records.where("type IN ('request', 'metadata') AND concurrent_to IS NOT NULL")
+    main = F.col("type").isin("response", "revisit")
+    capture = F.when(main, F.col("record_id")).when(F.col("type").isin("request", "metadata"), F.col("concurrent_to"))
+    keyed = records.withColumn("capture_id", capture).where("capture_id IS NOT NULL")
     entry = F.struct("record_id", "content")
-    beside = beside.groupBy(F.col("concurrent_to").alias("capture_id")).agg(
-        F.array_sort(F.collect_list(F.when(F.col("type") == "request", entry))).alias("requests"),
-        F.array_sort(F.collect_list(F.when(F.col("type") == "metadata", entry))).alias("metadata"),
+    beside = lambda kind: F.array_sort(F.collect_list(F.when(F.col("type") == kind, entry)))
+    joined = keyed.groupBy("capture_id").agg(
+        *(F.first(F.when(main, F.col(c)), ignorenulls=True).alias(f"r_{c}") for c in _RESPONSE),
+        beside("request").alias("requests"),
+        beside("metadata").alias("metadata"),
     )
-    none = F.array().cast("array<struct<record_id:string,content:string>>")
-    joined = main.join(beside, "capture_id", "full")
-    return joined.select("capture_id", "response", F.coalesce("requests", none).alias("requests"), F.coalesce("metadata", none).alias("metadata"))
+    response = F.when(F.col("r_type").isNotNull(), F.struct(*(F.col(f"r_{c}").alias(c) for c in _RESPONSE)))
+    return joined.select("capture_id", response.alias("response"), "requests", "metadata")
 
 
 def captures(spark: SparkSession, path: str) -> DataFrame:
