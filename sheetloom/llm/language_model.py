@@ -10,7 +10,7 @@ Training is data parallel: every partition runs stochastic gradient steps from t
 parameters are averaged by the number of tokens, round by round. Noise words come from the class distribution
 and are shared by a minibatch. Counts cover all training texts.
 
-The words are counted exactly. The ``known_words`` most frequent ones go to all tasks as a table of bounded size;
+The words are counted exactly. Up to ``known_words`` of the most frequent ones go to all tasks as a table of bounded size;
 occurrences of the rest are joined to their counts.
 """
 
@@ -100,10 +100,25 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 
 def build_vocabulary(counts: DataFrame, n_texts: int, singles: int = 191, shared: int = 64, known_words: int = 1 << 18) -> Vocabulary:
-    """The classes and the ``known_words`` most frequent words (ties by the bytes of the word)."""
-    top = counts.orderBy(F.desc("n"), "token").limit(max(singles, known_words))
-    known = [(bytes(r.token), r.n) for r in top.collect()]  # bounded by known_words
-    known.sort(key=lambda x: (-x[1], x[0]))
+    """The classes, and the most frequent words, at most ``known_words`` besides the single ones.
+
+    Words are known down to a count that is found from a histogram of counts, so that no more than the known
+    ones ever reach the driver. Ties among the single words go by their bytes.
+    """
+    first = [(bytes(r.token), r.n) for r in counts.orderBy(F.desc("n"), "token").limit(singles).collect()]
+    level = F.floor(F.log2("n") * 16).cast("int")
+    sizes = {r.level: r["count"] for r in counts.groupBy(level.alias("level")).count().collect()}  # 16 for each power of two
+    taken, least = 0, 1 << 30
+    for at in sorted(sizes, reverse=True):
+        taken += sizes[at]
+        if taken > known_words:
+            break
+        least = at
+    frequent = counts.where(level >= least).toArrow()
+    known = dict(zip(frequent["token"].to_pylist(), frequent["n"].to_pylist()))
+    for token, _ in first:
+        known.pop(token, None)
+    known = first + sorted(known.items(), key=lambda x: (-x[1], x[0]))
     ending = F.substring("token", -2, 2)
     single = [token for token, _ in known[:singles]]
     # one row per pair of bytes at most
