@@ -171,25 +171,31 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 _RESPONSE = ("type", "uri", "date", "http_head", "payload", "payload_bytes", "payload_digest", "refers_to")
 
 
-def assemble(records: DataFrame) -> DataFrame:
-    """One row per capture: capture_id, nested response, requests and metadata.
-
-    Requests and metadata join the response or revisit that they are concurrent to, all in one aggregate by the response's
-    id. A capture without a response has a null response; one without requests or metadata has empty arrays. Fields
-    that are not asked for are not moved.
-    """
+def _joined(records: DataFrame) -> DataFrame:
+    """Requests and metadata joined to the response or revisit that they are concurrent to, by the response's id; the
+    fields of the response are still columns, so that those not asked for are not moved."""
     main = F.col("type").isin("response", "revisit")
     capture = F.when(main, F.col("record_id")).when(F.col("type").isin("request", "metadata"), F.col("concurrent_to"))
     keyed = records.withColumn("capture_id", capture).where("capture_id IS NOT NULL")
     entry = F.struct("record_id", "content")
     beside = lambda kind: F.array_sort(F.collect_list(F.when(F.col("type") == kind, entry)))
-    joined = keyed.groupBy("capture_id").agg(
+    return keyed.groupBy("capture_id").agg(
         *(F.first(F.when(main, F.col(c)), ignorenulls=True).alias(f"r_{c}") for c in _RESPONSE),
         beside("request").alias("requests"),
         beside("metadata").alias("metadata"),
     )
-    response = F.when(F.col("r_type").isNotNull(), F.struct(*(F.col(f"r_{c}").alias(c) for c in _RESPONSE)))
-    return joined.select("capture_id", response.alias("response"), "requests", "metadata")
+
+
+def _response() -> Column:
+    return F.struct(*(F.col(f"r_{c}").alias(c) for c in _RESPONSE)).alias("response")
+
+
+def assemble(records: DataFrame) -> DataFrame:
+    """One row per capture: capture_id, nested response, requests and metadata.
+
+    A capture without a response has a response of null fields; one without requests or metadata has empty arrays.
+    """
+    return _joined(records).select("capture_id", _response(), "requests", "metadata")
 
 
 def captures(spark: SparkSession, path: str) -> DataFrame:
@@ -198,10 +204,11 @@ def captures(spark: SparkSession, path: str) -> DataFrame:
     Columns: page_id, url, refers_to, capture_id, response, requests, metadata.
     """
     known = F.from_json(F.get("metadata", F.lit(0))["content"], "page_id long, url string")
-    every = assemble(read_records(spark, path)).withColumn("known", known)
+    every = _joined(read_records(spark, path))
     ids = read_records(spark, path).where("type = 'metadata'")
-    ids = stage(ids.select(F.col("concurrent_to").alias("first"), F.from_json("content", "page_id long")["page_id"].alias("refers_to")), "captures")
-    every = every.withColumn("first", F.coalesce("response.refers_to", "capture_id"))  # no hot null key
+    page = F.from_json("content", "page_id long")["page_id"].alias("referred")
+    ids = stage(ids.select(F.col("concurrent_to").alias("first"), page), "captures")
+    every = every.withColumn("first", F.coalesce("r_refers_to", "capture_id"))  # no hot null key
     joined = every.join(ids, "first", "left")
-    refers_to = F.when(F.col("response.refers_to").isNotNull(), F.col("refers_to")).alias("refers_to")
-    return joined.select("known.page_id", "known.url", refers_to, "capture_id", "response", "requests", "metadata")
+    refers_to = F.when(F.col("r_refers_to").isNotNull(), F.col("referred")).alias("refers_to")
+    return joined.select(known["page_id"].alias("page_id"), known["url"].alias("url"), refers_to, "capture_id", _response(), "requests", "metadata")

@@ -196,7 +196,7 @@ def test_assembly_of_incomplete_captures(spark):
     rows = [("r1", "response", None, "a"), ("q2", "request", "r9", "b"), ("m1", "metadata", "r1", "c"), ("q1", "request", "r1", "d"), ("x", "request", None, "e")]
     shape = "record_id string, type string, concurrent_to string, content string, uri string, date string, http_head string, payload binary, payload_bytes long, payload_digest string, refers_to string"
     found = {r.capture_id: r for r in assemble(spark.createDataFrame([(*r, *[None] * 7) for r in rows], shape)).collect()}
-    assert set(found) == {"r1", "r9"} and found["r9"].response is None and found["r9"].metadata == []
+    assert set(found) == {"r1", "r9"} and found["r9"].response.type is None and found["r9"].metadata == []
     assert [x.content for x in found["r1"].requests] == ["d"] and [x.content for x in found["r1"].metadata] == ["c"]
 
 
