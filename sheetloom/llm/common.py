@@ -45,7 +45,7 @@ def word_chunks(text: str | None, size: int = 1 << 20) -> Iterator[list[bytes]]:
 class WordHashes:
     """64-bit hashes of words, with a cache that is emptied when full (it changes no result)."""
 
-    def __init__(self, room: int = 1 << 19) -> None:
+    def __init__(self, room: int = 1 << 18) -> None:
         self.room, self.known = room, {}
 
     def __call__(self, tokens: list[bytes]) -> np.ndarray:

@@ -65,7 +65,7 @@ def canonical(token: str) -> tuple[int, str]:
 class Templates:
     """Turns texts into template words; known words are cached (the cache is emptied when full)."""
 
-    def __init__(self, room: int = 1 << 19) -> None:
+    def __init__(self, room: int = 1 << 18) -> None:
         self.room = room
         self._reset()
 
