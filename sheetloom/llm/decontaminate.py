@@ -4,7 +4,9 @@ Words lose punctuation at their ends. Numbers, names (words written Xxxx, so als
 a number become typed placeholders, all others are literal in lower case. The template windows of five words of a
 benchmark item are looked up by hash in each document. An item is found in a document where at least 0.8 of its
 windows lie near one alignment and the placeholders are consistent: one value in the item stands for one value in the
-document and the other way round. So a copy is found, and so is a question with other numbers and names.
+document and the other way round. So a copy is found, and so is a question with other numbers and names. Beside the
+template windows the plain windows (all words in folded case) are looked up, and an item is also found where 0.8 of these lie near
+one alignment: a copy in other letter case, whose names are not written Xxxx.
 
 The benchmark is the query set: it is cut by a hash of the item into blocks of a measured size, each sent to all
 tasks, and every block is held against all documents in one pass without a shuffle.
@@ -45,13 +47,13 @@ _INNER = re.compile(r"[^\W_]")
 
 
 def canonical(token: str) -> tuple[int, str]:
-    """The kind of a word and its value in lower case; an empty value is punctuation only."""
+    """The kind of a word and its value in folded case; an empty value is punctuation only."""
     first = _INNER.search(token)
     if not first:
         return LITERAL, ""
     after = _INNER.search(token[::-1]).start()
     core = token[first.start() : len(token) - after]
-    value = core.lower()
+    value = core.casefold()
     if core[0].isdigit():
         if _NUMBER.fullmatch(core):
             return NUMBER, value
@@ -85,8 +87,8 @@ class Templates:
         self.kinds[at], self.hashes[at] = kind, xxhash.xxh3_64_intdigest(value.encode())
         self.values.append(value)
 
-    def read(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
-        """Kinds and template hashes of the words of a text, the values known, and each word's place among them."""
+    def read(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray]:
+        """Kinds, template hashes and plain hashes of the words of a text, the values known, and each word's place among them."""
         if len(self.place) > self.room:
             self._reset()
         tokens = text.split() if text else []
@@ -95,23 +97,41 @@ class Templates:
         place = self.place
         at = np.fromiter((place[t] for t in tokens), np.int64, len(tokens))
         at = at[at >= 0]
-        kinds, hashes = self.kinds[at], self.hashes[at]
+        kinds, plain = self.kinds[at], self.hashes[at]
         after_number = np.concatenate([[False], kinds[:-1] == NUMBER]) if len(kinds) else np.empty(0, bool)
         kinds[(kinds == UNIT) & ~after_number] = LITERAL
-        hashes[kinds != LITERAL] = kinds[kinds != LITERAL]
-        return kinds, hashes, self.values, at
+        hashes = np.where(kinds == LITERAL, plain, kinds.astype(np.uint64))
+        return kinds, hashes, plain, self.values, at
 
 
 @dataclass(frozen=True)
-class Index:
-    """Windows of a block of items: sorted hashes with (item, position) beside, and the item's words."""
+class Lookup:
+    """Windows of one sort of a block of items: sorted hashes with (item, position) beside."""
 
     hashes: np.ndarray
     items: np.ndarray
     positions: np.ndarray
     seen: np.ndarray  # by the top bits of a hash: is there any such window
+    sizes: np.ndarray  # windows by item
+
+    def hits(self, windows: np.ndarray) -> np.ndarray:
+        """Places of the windows that are here."""
+        if not len(self.hashes):
+            return np.empty(0, np.int64)
+        at = np.flatnonzero(self.seen[(windows >> np.uint64(44)).astype(np.int64)])
+        low = np.searchsorted(self.hashes, windows[at], "left")
+        hit = low < len(self.hashes)
+        hit[hit] = self.hashes[low[hit]] == windows[at[hit]]
+        return at[hit]
+
+
+@dataclass(frozen=True)
+class Index:
+    """The items of a block with their words, and their template and plain windows."""
+
+    template: Lookup
+    plain: Lookup
     ids: list
-    sizes: np.ndarray
     kinds: list[np.ndarray]
     values: list[list[str]]
 
@@ -125,64 +145,65 @@ def _windows(kinds: np.ndarray, hashes: np.ndarray, width: int) -> tuple[np.ndar
     return at, windows[at]
 
 
+def _lookup(found: list[tuple[np.ndarray, np.ndarray]]) -> Lookup:
+    """Of the (positions, hashes) of every item."""
+    sizes = np.array([len(hashes) for _, hashes in found], np.int64)
+    flat = np.concatenate([np.empty(0, np.uint64), *(hashes for _, hashes in found)])
+    positions = np.concatenate([np.empty(0, np.int64), *(where for where, _ in found)])
+    order = np.argsort(flat, kind="stable")
+    seen = np.zeros(1 << 20, bool)
+    seen[(flat >> np.uint64(44)).astype(np.int64)] = True
+    return Lookup(flat[order], np.repeat(np.arange(len(sizes)), sizes)[order], positions[order], seen, sizes)
+
+
 def build_index(items: list[tuple[object, str | None]], width: int) -> Index:
     templates = Templates(room=1 << 62)
-    hashes, owners, positions, ids, sizes, all_kinds, all_values = [], [], [], [], [], [], []
+    template, plain, ids, all_kinds, all_values = [], [], [], [], []
     for item, text in items:
-        kinds, template, values, at = templates.read(text)
-        where, found = _windows(kinds, template, width)
-        if not len(found):
-            continue  # nothing literal to look for
-        hashes.append(found)
-        owners.append(np.full(len(found), len(ids)))
-        positions.append(where)
+        kinds, hashes, words, values, at = templates.read(text)
+        if not len(words):
+            continue  # nothing to look for
+        template.append(_windows(kinds, hashes, width))
+        windows = window_hashes(words, width)
+        plain.append((np.arange(len(windows)), windows))
         ids.append(item)
-        sizes.append(len(found))
         all_kinds.append(kinds)
         all_values.append([values[k] for k in at])
-    empty = np.empty(0, np.int64)
-    flat = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
-    order = np.argsort(flat, kind="stable")
-    seen = np.zeros(1 << 20, bool)
-    seen[(flat >> np.uint64(44)).astype(np.int64)] = True
-    return Index(
-        flat[order], (np.concatenate(owners) if owners else empty)[order], (np.concatenate(positions) if positions else empty)[order],
-        seen, ids, np.array(sizes, np.int64), all_kinds, all_values,
-    )
+    return Index(_lookup(template), _lookup(plain), ids, all_kinds, all_values)
 
 
 def find_items(index: Index, templates: Templates, text: str | None, width: int, percent: int) -> list[dict]:
-    """The items of ``index`` found in a text."""
-    kinds, hashes, values, place = templates.read(text)
-    if not len(hashes) or not len(index.hashes):
-        return []
-    windows = window_hashes(hashes, width)
-    at = np.flatnonzero(index.seen[(windows >> np.uint64(44)).astype(np.int64)])
-    low = np.searchsorted(index.hashes, windows[at], "left")
-    hit = low < len(index.hashes)
-    hit[hit] = index.hashes[low[hit]] == windows[at[hit]]
-    at = at[hit]
+    """The items of ``index`` found in a text, by template windows or else by plain ones."""
+    kinds, hashes, words, values, place = templates.read(text)
+    found: dict[int, dict] = {}
+    if len(words):
+        for lookup, sequence in ((index.template, hashes), (index.plain, words)):
+            for item, match in _matches(index, lookup, window_hashes(sequence, width), values, place, width, percent):
+                found.setdefault(item, match)
+    return [found[item] for item in sorted(found)]
+
+
+def _matches(index: Index, lookup: Lookup, windows: np.ndarray, values: list[str], place: np.ndarray, width: int, percent: int) -> Iterator[tuple[int, dict]]:
+    at = lookup.hits(windows)
     if not len(at):
-        return []
+        return
     # which windows of which items occur at all; repeated windows of the text count once
     present = np.unique(windows[at])
-    low, high = np.searchsorted(index.hashes, present, "left"), np.searchsorted(index.hashes, present, "right")
+    low, high = np.searchsorted(lookup.hashes, present, "left"), np.searchsorted(lookup.hashes, present, "right")
     entries = np.concatenate([np.arange(a, b) for a, b in zip(low, high)])
-    covered = np.bincount(index.items[entries], minlength=len(index.ids))
-    found = []
-    for item in np.flatnonzero(100 * covered >= percent * index.sizes):
-        mine = entries[index.items[entries] == item]
-        match = _aligned(index, int(item), mine, windows, at, kinds, values, place, width)
+    covered = np.bincount(lookup.items[entries], minlength=len(index.ids))
+    for item in np.flatnonzero((covered > 0) & (100 * covered >= percent * lookup.sizes)):
+        mine = entries[lookup.items[entries] == item]
+        match = _aligned(index, lookup, int(item), mine, windows, at, values, place, width)
         if 100 * match["n_matched"] >= percent * match["n_windows"] and match["n_consistent"] * 100 >= percent * match["n_slots"]:
-            found.append(match)
-    return found
+            yield int(item), match
 
 
-def _aligned(index: Index, item: int, entries: np.ndarray, windows: np.ndarray, at: np.ndarray, kinds: np.ndarray, values: list[str], place: np.ndarray, width: int) -> dict:
+def _aligned(index: Index, lookup: Lookup, item: int, entries: np.ndarray, windows: np.ndarray, at: np.ndarray, values: list[str], place: np.ndarray, width: int) -> dict:
     """The best alignment of an item in a text: windows on it and the consistency of its placeholders."""
     by_hash: dict[int, list[int]] = {}
     for entry in entries:
-        by_hash.setdefault(int(index.hashes[entry]), []).append(int(index.positions[entry]))
+        by_hash.setdefault(int(lookup.hashes[entry]), []).append(int(lookup.positions[entry]))
     wanted = np.fromiter(by_hash, np.uint64, len(by_hash))
     pairs = [(mine, int(k)) for k in at[np.isin(windows[at], wanted)] for mine in by_hash[int(windows[k])]]
     shifts = Counter(theirs - mine for mine, theirs in pairs)
@@ -206,7 +227,7 @@ def _aligned(index: Index, item: int, entries: np.ndarray, windows: np.ndarray,
         back.setdefault((kind, theirs), mine)
     consistent = sum(forth[kind, mine] == theirs and back[kind, theirs] == mine for kind, mine, theirs in said)
     return {
-        "item_id": index.ids[item], "n_windows": int(index.sizes[item]), "n_matched": len(nearest),
+        "item_id": index.ids[item], "n_windows": int(lookup.sizes[item]), "n_matched": len(nearest),
         "first_word": min(nearest.values(), default=0), "n_slots": len(said), "n_consistent": consistent,
         "n_changed": sum(mine != theirs for _, mine, theirs in said),
     }
@@ -228,10 +249,10 @@ def index_blocks(benchmark: DataFrame, width: int = 5, block_bytes: int = 16 <<
 def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """One row per document and benchmark item found in it.
 
-    Columns: doc_id, item_id, n_windows (of the item), n_matched, first_word (place in the document, without punctuation
+    Columns: doc_id, item_id, n_windows (of the item: template windows, or plain ones if only these suffice), n_matched, first_word (place in the document, without punctuation
     words), n_slots, n_consistent, n_changed (placeholders with another value). Null and empty texts hold
-    nothing; items without a window that is at least half literal can't be found; items of fewer than ``width`` words are one
-    window; items with a null id are left out. Repeated documents or items are reported as often as they are there.
+    nothing; items without a template window that is at least half literal are found by their plain windows; items of fewer than
+    ``width`` words are one window; items with a null id are left out. Repeated documents or items are reported as often as they are there.
     """
     item_kind = benchmark.schema[settings.get("item_col", "item_id")].dataType.simpleString()
     plain = pick(docs, doc_id=id_col, text=text_col)

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -224,6 +225,26 @@ def test_contamination_finds_every_copied_item_of_the_sample(spark):
         assert len(brute.shingles(items[item], 2) & brute.shingles(docs[doc], 2)) >= 0.7 * len(brute.shingles(items[item], 2))
 
 
+def test_contamination_in_any_letter_case(spark):
+    texts = [f"{PROSE} {ITEM.upper()}", f"{PROSE} {ITEM.lower()} {PROSE}", ITEM.title(), ITEM.upper().replace("APPLES", "PEARS")]
+    found = contaminated(spark, texts, [(7, ITEM)])
+    assert set(found) == {(0, 7), (1, 7), (2, 7)} and all(r.n_changed == 0 for r in found.values())
+    assert set(contaminated(spark, ["WIE LANG IST DIE STRASSE NACH BERLIN"], [(1, "Wie lang ist die Straße nach Berlin?")])) == {(0, 1)}
+
+
+def bare(text):
+    """The words in folded case without punctuation at their ends, between blanks."""
+    return f" {' '.join(w for w in (re.sub(r'^[\W_]+|[\W_]+$', '', t).casefold() for t in (text or '').split()) if w)} "
+
+
+def test_contamination_in_any_letter_case_of_the_large_sample(spark):
+    table = {n: spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "benchmark")}
+    items = [(r.item_id, bare(r.text)) for r in table["benchmark"].collect()]
+    copied = {(r.doc_id, k) for r in table["documents"].collect() for text in [bare(r.text)] for k, item in items if item in text}
+    found = {(r.doc_id, r.item_id) for r in find_contamination(table["documents"], table["benchmark"]).collect()}
+    assert {(1699, 130), (6420, 37), (8376, 101)} <= copied <= found
+
+
 def test_boundaries_are_optimal():
     rng = random.Random(1)
     for _ in range(30):
