@@ -6,7 +6,8 @@ benchmark item are looked up by hash in each document. An item is found in a doc
 windows lie near one alignment and the placeholders are consistent: one value in the item stands for one value in the
 document and the other way round. So a copy is found, and so is a question with other numbers and names. Beside the
 template windows the plain windows (all words in folded case) are looked up, and an item is also found where 0.8 of these lie near
-one alignment: a copy in other letter case, whose names are not written Xxxx.
+one alignment: a copy in other letter case, whose names are not written Xxxx, or of numbers and names only. The plain words of
+an item of fewer than five are one window of their own length, which is looked up anywhere in a document.
 
 The benchmark is the query set: it is cut by a hash of the item into blocks of a measured size, each sent to all
 tasks, and every block is held against all documents in one pass without a shuffle.
@@ -130,7 +131,7 @@ class Index:
     """The items of a block with their words, and their template and plain windows."""
 
     template: Lookup
-    plain: Lookup
+    plain: dict[int, Lookup]  # by the words of a window: the width, or all words of shorter items
     ids: list
     kinds: list[np.ndarray]
     values: list[list[str]]
@@ -159,6 +160,7 @@ def _lookup(found: list[tuple[np.ndarray, np.ndarray]]) -> Lookup:
 def build_index(items: list[tuple[object, str | None]], width: int) -> Index:
     templates = Templates(room=1 << 62)
     template, plain, ids, all_kinds, all_values = [], [], [], [], []
+    none = np.empty(0, np.int64), np.empty(0, np.uint64)
     for item, text in items:
         kinds, hashes, words, values, at = templates.read(text)
         if not len(words):
@@ -169,7 +171,9 @@ def build_index(items: list[tuple[object, str | None]], width: int) -> Index:
         ids.append(item)
         all_kinds.append(kinds)
         all_values.append([values[k] for k in at])
-    return Index(_lookup(template), _lookup(plain), ids, all_kinds, all_values)
+    lengths = [min(width, len(kinds)) for kinds in all_kinds]
+    by_length = {n: _lookup([w if n == mine else none for w, mine in zip(plain, lengths)]) for n in sorted(set(lengths))}
+    return Index(_lookup(template), by_length, ids, all_kinds, all_values)
 
 
 def find_items(index: Index, templates: Templates, text: str | None, width: int, percent: int) -> list[dict]:
@@ -177,8 +181,10 @@ def find_items(index: Index, templates: Templates, text: str | None, width: int,
     kinds, hashes, words, values, place = templates.read(text)
     found: dict[int, dict] = {}
     if len(words):
-        for lookup, sequence in ((index.template, hashes), (index.plain, words)):
-            for item, match in _matches(index, lookup, window_hashes(sequence, width), values, place, width, percent):
+        wanted = [(index.template, hashes, width)]
+        wanted += [(lookup, words, n) for n, lookup in index.plain.items() if n <= len(words)]
+        for lookup, sequence, n in wanted:
+            for item, match in _matches(index, lookup, window_hashes(sequence, n), values, place, width, percent):
                 found.setdefault(item, match)
     return [found[item] for item in sorted(found)]
 
@@ -252,7 +258,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 5, pe
     Columns: doc_id, item_id, n_windows (of the item: template windows, or plain ones if only these suffice), n_matched, first_word (place in the document, without punctuation
     words), n_slots, n_consistent, n_changed (placeholders with another value). Null and empty texts hold
     nothing; items without a template window that is at least half literal are found by their plain windows; items of fewer than
-    ``width`` words are one window; items with a null id are left out. Repeated documents or items are reported as often as they are there.
+    ``width`` words are one plain window of that many words, found anywhere in a text, and one template window, found only in a text
+    of as many words; items with a null id are left out. Repeated documents or items are reported as often as they are there.
     """
     item_kind = benchmark.schema[settings.get("item_col", "item_id")].dataType.simpleString()
     plain = pick(docs, doc_id=id_col, text=text_col)

@@ -232,6 +232,15 @@ def test_contamination_in_any_letter_case(spark):
     assert set(contaminated(spark, ["WIE LANG IST DIE STRASSE NACH BERLIN"], [(1, "Wie lang ist die Straße nach Berlin?")])) == {(0, 1)}
 
 
+def test_contamination_by_short_items_and_items_of_numbers_and_names(spark):
+    items = ["12 + 7 = 19", "Paris", "What is gravity?", "Anna Bob 12 34 Carl Dora 56 78"]
+    texts = [*(f"{PROSE} {item} {PROSE}" for item in items), f"{PROSE} WHAT IS GRAVITY", "what was gravity", f"{PROSE} 12 + 7 = 20"]
+    found = contaminated(spark, texts, list(enumerate(items)))
+    assert set(found) == {(0, 0), (1, 1), (2, 2), (3, 3), (4, 2)}
+    assert {r.first_word for r in found.values()} == {len(PROSE.split())} and all(r.n_matched == r.n_windows for r in found.values())
+    assert contaminated(spark, texts, [(9, "!!"), (10, "...")]) == {}
+
+
 def bare(text):
     """The words in folded case without punctuation at their ends, between blanks."""
     return f" {' '.join(w for w in (re.sub(r'^[\W_]+|[\W_]+$', '', t).casefold() for t in (text or '').split()) if w)} "
