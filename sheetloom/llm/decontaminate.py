@@ -200,43 +200,52 @@ def _matches(index: Index, lookup: Lookup, windows: np.ndarray, values: list[str
     covered = np.bincount(lookup.items[entries], minlength=len(index.ids))
     for item in np.flatnonzero((covered > 0) & (100 * covered >= percent * lookup.sizes)):
         mine = entries[lookup.items[entries] == item]
-        match = _aligned(index, lookup, int(item), mine, windows, at, values, place, width)
-        if 100 * match["n_matched"] >= percent * match["n_windows"] and match["n_consistent"] * 100 >= percent * match["n_slots"]:
-            yield int(item), match
+        for match in _aligned(index, lookup, int(item), mine, windows, at, values, place, width, percent):
+            if match["n_consistent"] * 100 >= percent * match["n_slots"]:
+                yield int(item), match
+                break
 
 
-def _aligned(index: Index, lookup: Lookup, item: int, entries: np.ndarray, windows: np.ndarray, at: np.ndarray, values: list[str], place: np.ndarray, width: int) -> dict:
-    """The best alignment of an item in a text: windows on it and the consistency of its placeholders."""
+def _aligned(index: Index, lookup: Lookup, item: int, entries: np.ndarray, windows: np.ndarray, at: np.ndarray, values: list[str], place: np.ndarray, width: int, percent: int) -> Iterator[dict]:
+    """The alignments of an item in a text that have enough windows, most windows first: these and the consistency of the placeholders."""
     by_hash: dict[int, list[int]] = {}
     for entry in entries:
         by_hash.setdefault(int(lookup.hashes[entry]), []).append(int(lookup.positions[entry]))
     wanted = np.fromiter(by_hash, np.uint64, len(by_hash))
     pairs = [(mine, int(k)) for k in at[np.isin(windows[at], wanted)] for mine in by_hash[int(windows[k])]]
     shifts = Counter(theirs - mine for mine, theirs in pairs)
-    shift = min(shifts, key=lambda s: (-shifts[s], s))
+    offsets = np.array([theirs - mine for mine, theirs in pairs], np.int64)
+    by_offset = np.argsort(offsets, kind="stable")
+    offsets = offsets[by_offset]
     n_words = len(index.values[item])
     room = max(2, n_words // 5)  # words put in or left out move the rest of the passage
-    nearest: dict[int, int] = {}
-    for mine, theirs in pairs:
-        off = abs(theirs - mine - shift)
-        if off <= room and (mine not in nearest or off < abs(nearest[mine] - mine - shift)):
-            nearest[mine] = theirs
-    slots = {}
-    for mine, theirs in nearest.items():
-        for k in range(min(width, n_words - mine)):
-            if index.kinds[item][mine + k] != LITERAL:
-                slots[mine + k] = theirs + k
-    said = [(index.kinds[item][a], index.values[item][a], values[place[b]]) for a, b in sorted(slots.items())]
-    forth, back = {}, {}
-    for (kind, mine, theirs), _ in Counter(said).most_common():
-        forth.setdefault((kind, mine), theirs)
-        back.setdefault((kind, theirs), mine)
-    consistent = sum(forth[kind, mine] == theirs and back[kind, theirs] == mine for kind, mine, theirs in said)
-    return {
-        "item_id": index.ids[item], "n_windows": int(lookup.sizes[item]), "n_matched": len(nearest),
-        "first_word": min(nearest.values(), default=0), "n_slots": len(said), "n_consistent": consistent,
-        "n_changed": sum(mine != theirs for _, mine, theirs in said),
-    }
+    for shift in sorted(shifts, key=lambda s: (-shifts[s], s)):
+        low, high = np.searchsorted(offsets, shift - room, "left"), np.searchsorted(offsets, shift + room, "right")
+        if 100 * (high - low) < percent * lookup.sizes[item]:
+            continue
+        nearest: dict[int, int] = {}
+        for k in np.sort(by_offset[low:high]):
+            mine, theirs = pairs[k]
+            if mine not in nearest or abs(theirs - mine - shift) < abs(nearest[mine] - mine - shift):
+                nearest[mine] = theirs
+        if 100 * len(nearest) < percent * lookup.sizes[item]:
+            continue
+        slots = {}
+        for mine, theirs in nearest.items():
+            for k in range(min(width, n_words - mine)):
+                if index.kinds[item][mine + k] != LITERAL:
+                    slots[mine + k] = theirs + k
+        said = [(index.kinds[item][a], index.values[item][a], values[place[b]]) for a, b in sorted(slots.items())]
+        forth, back = {}, {}
+        for (kind, mine, theirs), _ in Counter(said).most_common():
+            forth.setdefault((kind, mine), theirs)
+            back.setdefault((kind, theirs), mine)
+        consistent = sum(forth[kind, mine] == theirs and back[kind, theirs] == mine for kind, mine, theirs in said)
+        yield {
+            "item_id": index.ids[item], "n_windows": int(lookup.sizes[item]), "n_matched": len(nearest),
+            "first_word": min(nearest.values(), default=0), "n_slots": len(said), "n_consistent": consistent,
+            "n_changed": sum(mine != theirs for _, mine, theirs in said),
+        }
 
 
 def index_blocks(benchmark: DataFrame, width: int = 5, block_bytes: int = 16 << 20, id_col: str = "item_id", text_col: str = "text") -> list[Broadcast]:

@@ -202,6 +202,13 @@ def test_contamination(spark):
     assert found[0, 7].first_word == len(PROSE.split()) and found[0, 7].n_matched == found[0, 7].n_windows
 
 
+def test_contamination_after_an_inconsistent_text_of_the_same_template(spark):
+    other = ITEM.replace("Tom", "Rosa").replace("Anna", "Max").replace("12", "40").replace("5", "9").replace(" 3 ", " 7 ")
+    inconsistent = other.replace("40 apples does Rosa", "41 apples does Rosa", 1).replace("Rosa still", "Pete still").replace("Max", "Rosa")
+    found = contaminated(spark, [f"{inconsistent} {PROSE} {other}", f"{inconsistent} {PROSE} {inconsistent}"], [(7, ITEM)])
+    assert set(found) == {(0, 7)} and found[0, 7].first_word == len(f"{inconsistent} {PROSE}".split())
+
+
 def test_contamination_with_a_word_put_in(spark):
     assert set(contaminated(spark, [ITEM.replace("apples to", "apples back to")], [(7, ITEM)])) == {(0, 7)}
 
