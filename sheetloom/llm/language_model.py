@@ -7,7 +7,7 @@ it (batched matrix products). Within a shared class a word has its add-one share
 one more share stands for all words never seen. So the probabilities of all tokens add up to one.
 
 Training is data parallel: every partition runs stochastic gradient steps from the same start on its own texts, and the
-parameters are averaged by the number of tokens, round by round. Noise words come from the class distribution
+parameters are averaged by the number of tokens, round by round. Every training text takes steps in one of the rounds. Noise words come from the class distribution
 and are shared by a minibatch. Counts cover all training texts.
 
 The words are counted exactly. Up to ``known_words`` of the most frequent ones go to all tasks as a table of bounded size;
@@ -225,16 +225,15 @@ def _class_sequence(vocabulary: Vocabulary, text: str | None) -> np.ndarray:
     return np.concatenate([*parts, [END]]).astype(np.int64)
 
 
-def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int = 2, share: float = 0.125, noise: int = 64, batch: int = 2048, rate: float = 0.05) -> LogBilinear:
-    """Train on ``texts`` (doc_id, text); each round takes another ``share`` of them, by a hash of id and text, so the
-    training set is a fixed part of the input and grows with it."""
+def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int = 4, noise: int = 64, batch: int = 2048, rate: float = 0.05) -> LogBilinear:
+    """Train on ``texts`` (doc_id, text); they are dealt to the rounds by a hash of id and text, so each takes its steps in
+    one round."""
     if not vocabulary.n_texts:
         return LogBilinear.start(np.ones(vocabulary.n_classes) / vocabulary.n_classes)
     probabilities = (vocabulary.class_tokens + 1) / (vocabulary.n_tokens + vocabulary.n_classes)
     model = LogBilinear.start(probabilities)
     context = texts.sparkSession.sparkContext
     words = context.broadcast(vocabulary)
-    buckets = round(1 / share)
     for number in range(rounds):
         start = context.broadcast(model)
 
@@ -269,7 +268,7 @@ def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int = 2, share: floa
             if seen:
                 yield pa.RecordBatch.from_pydict({"values": [mine.flat() * seen], "seen": [seen]}, schema=_TRAINED)
 
-        taken = texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)) == number).select("text")
+        taken = texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)) == number).select("text")
         trained = stage(taken.mapInArrow(run, "values array<double>, seen long"), "trained")
         seen = trained.agg(F.sum("seen").alias("seen")).first().seen
         if seen:

@@ -15,7 +15,7 @@ from sheetloom.llm import packing
 from sheetloom.llm.common import WordHashes, components, word_chunks, words
 from sheetloom.llm.decontaminate import canonical, decontaminate, find_contamination
 from sheetloom.llm.language import fit_languages, gram_counts, identify
-from sheetloom.llm.language_model import LogBilinear, build_vocabulary, contexts, count_words, score_texts, token_hash
+from sheetloom.llm.language_model import LogBilinear, build_vocabulary, contexts, count_words, score_texts, token_hash, train
 from sheetloom.llm.line_dedup import LineRuns, dedup_lines, document_lines
 from sheetloom.llm.minhash import near_duplicates
 from sheetloom.llm.queries import QUERIES
@@ -325,6 +325,15 @@ def test_scores_whole_sample(spark):
     assert sum(g for g, _ in gains) > 0.005 * sum(n for _, n in gains)  # 200 documents teach little
 
 
+def test_every_training_text_takes_steps(spark):
+    docs = spark.createDataFrame([(k, f"w{k:02} " * 20) for k in range(40)], "doc_id long, text string")
+    vocabulary = build_vocabulary(count_words(docs), 40)
+    start = LogBilinear.start((vocabulary.class_tokens + 1) / (vocabulary.n_tokens + vocabulary.n_classes))
+    moved = (train(docs, vocabulary).r != start.r).any(axis=1)
+    own = [vocabulary.class_of[vocabulary.words[f"w{k:02}".encode()]] for k in range(40)]
+    assert len(set(own)) == 40 and moved[own].all()  # the word of each text is a class of its own, seen in that text only
+
+
 def test_words_beyond_the_known_ones_count_the_same(spark):
     rows = [(k, t) for k, t in sample(spark).items() if k < 60]
     docs = docs_frame(spark, rows, extra=False)
