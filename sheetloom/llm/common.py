@@ -120,3 +120,25 @@ def components(edges: DataFrame) -> DataFrame:
         labels = labels.join(moved, "component", "left")
         labels = stage(labels.select("node", F.coalesce("root", "component").alias("component")), "labels")
     return labels
+
+
+def term_table(digits: bool) -> bytes:
+    """For ``bytes.translate``: letters (ASCII in lower case, and every byte beyond ASCII), with ``digits`` 0-9 too;
+    all other bytes become a blank."""
+    kept = bytearray(b" " * 128 + bytes(range(128, 256)))
+    for lower in range(97, 123):
+        kept[lower] = kept[lower - 32] = lower
+    if digits:
+        kept[48:58] = range(48, 58)
+    return bytes(kept)
+
+
+def term_chunks(text: str | None, table: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The terms of a text under a :func:`term_table`, in lists of bounded size, for texts of any length."""
+    data = text.encode().translate(table) if text else b""
+    start = 0
+    while start < len(data):
+        stop = data.find(b" ", start + size)
+        stop = len(data) if stop < 0 else stop
+        yield data[start:stop].split()
+        start = stop

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sheetloom.llm.chat import rotate
 from sheetloom.llm.decontaminate import find_contamination
+from sheetloom.llm.divergence import audit_sources
 from sheetloom.llm.html_text import extract_text
 from sheetloom.llm.language import fit_languages, identify
 from sheetloom.llm.language_model import score_texts
+from sheetloom.llm.lexical import search
 from sheetloom.llm.line_dedup import dedup_lines
 from sheetloom.llm.minhash import near_duplicates
 from sheetloom.llm.packing import pack
@@ -85,11 +87,22 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85, bands=8, rows=3)
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sources of each language compared by their words."""
+    return audit_sources(_table(spark, sf_dir, "documents"), min_docs=30, top=50)
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_lm_scoring, op2_packing, op3_html_extraction, op4_decontamination, op5_warc, op6_language_id,
-        op7_line_dedup, op8_embedding_dedup, op9_chat_formatting, op10_minhash_dedup,
+        op7_line_dedup, op8_embedding_dedup, op9_chat_formatting, op10_minhash_dedup, op12_source_divergence,
+        op13_lexical_search,
     )
 }
 
@@ -133,5 +146,50 @@ SELECT conv_id, speaker, part, count(*) AS n_turns,
        coalesce(string_agg(concat(stop - 8 - length(content), '-', stop), ',' ORDER BY stop) FILTER (own), '') AS spans,
        CAST(coalesce(sum(length(content) + 8) FILTER (own), 0) AS BIGINT) AS n_trained
 FROM w GROUP BY conv_id, speaker, part
+""",
+    "op12_source_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY lang, source, term),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+s AS (SELECT DISTINCT lang, source FROM d),
+sn AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM s LEFT JOIN c USING (lang, source) GROUP BY lang, source),
+ln AS (SELECT lang, sum(n) AS total FROM c GROUP BY lang),
+lc AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term),
+p AS (SELECT lang, source, term, coalesce(n, 0) AS n,
+             1 + (CAST(1000000000 AS HUGEINT) * (coalesce(n, 0) + 5)) // (total + 5 * v) AS p
+      FROM sn JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+q AS (SELECT lang, term, 1 + (CAST(1000000000 AS HUGEINT) * (n + 5)) // (total + 5 * v) AS q
+      FROM lc JOIN ln USING (lang) JOIN v USING (lang)),
+pv AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+       FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pr AS (SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+       FROM s AS a JOIN s AS b ON a.lang = b.lang AND a.source <> b.source
+       LEFT JOIN pv ON pv.lang = a.lang AND pv.source = a.source AND pv.item = b.source),
+t AS (SELECT lang, source, term AS item, p - q AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+u AS (SELECT 'pair' AS part, * FROM pr UNION ALL SELECT 'term', * FROM t),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM u)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM z WHERE part = 'pair' OR rank <= 50
+""",
+    "op13_lexical_search": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+w AS (SELECT r, doc_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+n AS (SELECT r, doc_id, count(*) AS n FROM w GROUP BY r, doc_id),
+a AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM n),
+i AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)),
+tf AS (SELECT r, term, count(*) AS tf FROM w WHERE term IN (SELECT term FROM i) GROUP BY r, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+wt AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS weight FROM df, a),
+s AS (SELECT item_id, doc_id, r,
+             sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) AS score
+      FROM i JOIN tf USING (term) JOIN wt USING (term) JOIN n USING (r), a GROUP BY item_id, doc_id, r),
+k AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM k WHERE rank <= 10
 """,
 }
