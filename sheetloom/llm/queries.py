@@ -14,6 +14,7 @@ from sheetloom.llm.lexical import search
 from sheetloom.llm.line_dedup import dedup_lines
 from sheetloom.llm.minhash import near_duplicates
 from sheetloom.llm.packing import pack
+from sheetloom.llm.private_data import KINDS, personal_data, span_text
 from sheetloom.llm.vectors import near_duplicate_vectors
 from sheetloom.llm.warc import captures, write_archives
 from sheetloom.session import scratch_path
@@ -87,6 +88,19 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85, bands=8, rows=3)
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: the base spans, and those the trees add."""
+    found = personal_data(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda k: F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == k))).cast("long")
+    return found.select(
+        "doc_id",
+        *(count(k).alias(f"n_{kind}") for k, kind in enumerate(KINDS)),
+        F.sha2(span_text(base).cast("binary"), 256).alias("base_sha256"),
+        span_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sources of each language compared by their words."""
     return audit_sources(_table(spark, sf_dir, "documents"), min_docs=30, top=50)
@@ -101,8 +115,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_lm_scoring, op2_packing, op3_html_extraction, op4_decontamination, op5_warc, op6_language_id,
-        op7_line_dedup, op8_embedding_dedup, op9_chat_formatting, op10_minhash_dedup, op12_source_divergence,
-        op13_lexical_search,
+        op7_line_dedup, op8_embedding_dedup, op9_chat_formatting, op10_minhash_dedup, op11_pii,
+        op12_source_divergence, op13_lexical_search,
     )
 }
 
