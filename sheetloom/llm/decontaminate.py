@@ -20,6 +20,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -88,21 +89,29 @@ class Templates:
         self.kinds[at], self.hashes[at] = kind, xxhash.xxh3_64_intdigest(value.encode())
         self.values.append(value)
 
-    def read(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray]:
-        """Kinds, template hashes and plain hashes of the words of a text, the values known, and each word's place among them."""
+    def read_many(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray, np.ndarray]:
+        """Of the words of all texts, one after the other: kinds, template hashes and plain hashes, the values known, each word's
+        place among them, and the number of its text."""
         if len(self.place) > self.room:
             self._reset()
-        tokens = text.split() if text else []
+        split = [text.split() if text else [] for text in texts]
+        tokens = list(chain.from_iterable(split))
         for token in set(tokens).difference(self.place):
             self._learn(token)
-        place = self.place
-        at = np.fromiter((place[t] for t in tokens), np.int64, len(tokens))
-        at = at[at >= 0]
+        at = np.fromiter(map(self.place.__getitem__, tokens), np.int64, len(tokens))
+        owner = np.repeat(np.arange(len(texts)), [len(words) for words in split])
+        known = at >= 0
+        at, owner = at[known], owner[known]
         kinds, plain = self.kinds[at], self.hashes[at]
-        after_number = np.concatenate([[False], kinds[:-1] == NUMBER]) if len(kinds) else np.empty(0, bool)
+        after_number = np.zeros(len(kinds), bool)
+        after_number[1:] = (kinds[:-1] == NUMBER) & (owner[1:] == owner[:-1])
         kinds[(kinds == UNIT) & ~after_number] = LITERAL
         hashes = np.where(kinds == LITERAL, plain, kinds.astype(np.uint64))
-        return kinds, hashes, plain, self.values, at
+        return kinds, hashes, plain, self.values, at, owner
+
+    def read(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray]:
+        """:meth:`read_many` of one text."""
+        return self.read_many([text])[:5]
 
 
 @dataclass(frozen=True)
@@ -176,6 +185,37 @@ def build_index(items: list[tuple[object, str | None]], width: int) -> Index:
     return Index(_lookup(template), by_length, ids, all_kinds, all_values)
 
 
+def may_hold_items(index: Index, templates: Templates, texts: list[str | None], width: int) -> np.ndarray:
+    """Which of the texts have any window of the index, or are shorter than a window; all texts at once."""
+    _, hashes, words, _, _, owner = templates.read_many(texts)
+    sizes = np.bincount(owner, minlength=len(texts))
+    found = (sizes > 0) & (sizes < width)
+    for lookup, sequence, n in [(index.template, hashes, width), *((lookup, words, n) for n, lookup in index.plain.items())]:
+        if len(sequence) >= n:
+            whole = np.flatnonzero(owner[: len(owner) - n + 1] == owner[n - 1 :])  # not across texts
+            found[owner[whole[lookup.hits(window_hashes(sequence, n)[whole])]]] = True
+    return found
+
+
+def text_groups(texts: list[str | None], most: int = 1 << 20) -> Iterator[slice]:
+    """Slices of texts of about ``most`` characters or one text."""
+    start, size = 0, 0
+    for k, text in enumerate(texts):
+        size += len(text or "")
+        if size >= most:
+            yield slice(start, k + 1)
+            start, size = k + 1, 0
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
+def find_in_texts(index: Index, templates: Templates, texts: list[str | None], width: int, percent: int) -> Iterator[list[dict]]:
+    """:func:`find_items` of every text. Texts without any window of the index are told apart together."""
+    for part in text_groups(texts):
+        for text, possible in zip(texts[part], may_hold_items(index, templates, texts[part], width)):
+            yield find_items(index, templates, text, width, percent) if possible else []
+
+
 def find_items(index: Index, templates: Templates, text: str | None, width: int, percent: int) -> list[dict]:
     """The items of ``index`` found in a text, by template windows or else by plain ones."""
     kinds, hashes, words, values, place = templates.read(text)
@@ -283,8 +323,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 5, pe
                 found = []
                 for start in range(0, batch.num_rows, 256):
                     part = batch.slice(start, 256).to_pydict()
-                    for doc, text in zip(part["doc_id"], part["text"]):
-                        found += [{"doc_id": doc} | m for m in find_items(block.value, templates, text, width, percent)]
+                    for doc, matches in zip(part["doc_id"], find_in_texts(block.value, templates, part["text"], width, percent)):
+                        found += [{"doc_id": doc} | m for m in matches]
                 if found:
                     kinds = {"doc_id": batch.schema.field("doc_id").type, "item_id": pa.array(block.value.ids).type}
                     yield pa.RecordBatch.from_pylist(found, pa.schema(kinds | dict.fromkeys(_COUNTS, pa.int64())))
@@ -306,7 +346,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 5, percent
                 clean = []
                 for start in range(0, batch.num_rows, 256):
                     texts = column.slice(start, 256).to_pylist()
-                    clean += [not find_items(block.value, templates, text, width, percent) for text in texts]
+                    clean += [not found for found in find_in_texts(block.value, templates, texts, width, percent)]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
         result = result.mapInArrow(run, result.schema)
