@@ -234,7 +234,7 @@ def audit_sources(
     top: int = 50,
     smoothing: int = 5,
     scale: int = 1_000_000_000,
-    block_terms: int = 4096,
+    block_terms: int = 512,
     tile_sources: int = 256,
     shard_bytes: int = SHARD_BYTES,
     text_col: str = "text",
