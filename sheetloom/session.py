@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -11,7 +10,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-_LOCAL_SCRATCH: dict[str, str] = {}
 _TO_DELETE_AT_EXIT: set[str] = set()
 _STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
@@ -37,19 +35,15 @@ def get_spark(app_name: str = "sheetloom", master: str | None = None, **conf: st
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
-    It is the folder named by ``spark.checkpoint.dir``. Only a local-mode session that names
-    none (as in tests) falls back to a temporary folder; on a cluster the setting is required,
-    because a machine-local folder is not visible to the other executors.
+    It is the folder named by ``spark.checkpoint.dir``. A local-mode session that names none uses a folder below
+    the warehouse; on a cluster the setting is required, because its folder must be one that all executors reach.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_SCRATCH:
-        _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="sheetloom-")
-    return _LOCAL_SCRATCH[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def hadoop_path(spark: SparkSession, path: str):

@@ -7,14 +7,20 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from sheetloom.session import get_spark  # noqa: E402
 
-SF_DIR = "/root/testdata/sf0.001"
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = get_spark(
-        "tests", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "4g"}
-    )
+def spark(tmp_path_factory):
+    settings = {
+        "spark.sql.shuffle.partitions": "8",
+        "spark.driver.memory": "4g",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
+    }
+    session = get_spark("tests", "local[8]", **settings)
     session.sparkContext.setLogLevel("ERROR")
     return session
 

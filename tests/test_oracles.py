@@ -5,17 +5,16 @@ import pytest
 
 from __spark_entry__ import entry
 from check import normal
-from conftest import SF_DIR
 from workload.oracles import ORACLES
 from workload.queries import QUERIES
 from workload.raw_tables import TABLES
 
 
 @pytest.fixture(scope="module")
-def con():
+def con(sf_dir):
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_DIR}/{t}.parquet'")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     return con
 
 
@@ -28,8 +27,8 @@ def test_entry(spark):
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query(spark, con, name):
-    result = QUERIES[name](spark, SF_DIR)
+def test_query(spark, con, sf_dir, name):
+    result = QUERIES[name](spark, sf_dir)
     got = normal(result.columns, [tuple(r) for r in result.collect()])
     cursor = con.execute(ORACLES[name])
     columns = [d[0] for d in cursor.description]
