@@ -29,13 +29,25 @@ DEFAULT_LIMITS = LookupLimits()
 
 
 def fits_broadcast(df: DataFrame, limits: LookupLimits = DEFAULT_LIMITS) -> bool:
-    """Is ``df`` within the broadcast bound? Its size was taken when staged, or is measured now."""
+    """Is ``df`` within the broadcast bound? Its size was taken when staged, or is measured now.
+
+    The size is that of the values as text. A broadcast table takes a few times as much in memory, so ``limits.bytes`` is a
+    fraction of what a task may hold.
+    """
     size = staged_size(df)
     if size is None or size.bytes is None:
         size = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(row_width(df)).alias("bytes")).first()
     return size.rows <= limits.rows and (size.bytes or 0) <= limits.bytes
 
 
+def require_unique(lookup: DataFrame, keys: list[str]) -> DataFrame:
+    """``lookup`` itself; an error if it holds a key twice, because a lookup would then multiply rows."""
+    twice = lookup.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(3).collect()
+    if twice:
+        raise ValueError(f"a lookup holds {keys} more than once, such as {[tuple(r)[:-1] for r in twice]}")
+    return lookup
+
+
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,

@@ -29,8 +29,8 @@ def validation_report(df: DataFrame) -> DataFrame:
     )
 
 
-def validate(df: DataFrame, spec: DatasetSpec, name: str = "table", stored: bool = False) -> int:
-    """Raise :class:`ValidationError` unless ``df`` may be published; return its row count.
+def check_columns(df: DataFrame, spec: DatasetSpec, name: str = "table", stored: bool = False) -> None:
+    """Raise :class:`ValidationError` unless ``df`` has the columns and types to be published.
 
     ``stored``: the dates of ``df`` are already text.
     """
@@ -42,9 +42,22 @@ def validate(df: DataFrame, spec: DatasetSpec, name: str = "table", stored: bool
     for c in (spec.date_column, "ingested_at_utc"):
         if types[c] != wanted:
             raise ValidationError(f"{name}: {c} must be {wanted.simpleString()}")
-    report = validation_report(df).first()
-    if report["n_rows"] == 0:
+
+
+def check_counts(n_rows: int, n_null_ids: int, name: str = "table") -> None:
+    """Raise :class:`ValidationError` for an empty table, or one with rows without a ``record_id``."""
+    if n_rows == 0:
         raise ValidationError(f"{name} is empty")
-    if report["n_null_ids"]:
-        raise ValidationError(f"{name}: {report['n_null_ids']} rows without record_id")
+    if n_null_ids:
+        raise ValidationError(f"{name}: {n_null_ids} rows without record_id")
+
+
+def validate(df: DataFrame, spec: DatasetSpec, name: str = "table", stored: bool = False) -> int:
+    """Raise :class:`ValidationError` unless ``df`` may be published; return its row count.
+
+    ``stored``: the dates of ``df`` are already text.
+    """
+    check_columns(df, spec, name, stored)
+    report = validation_report(df).first()
+    check_counts(report["n_rows"], report["n_null_ids"], name)
     return report["n_rows"]

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from sheetloom.functions.cells import cell_number, cell_text, has_typed_cells
 from sheetloom.functions.datetimes import datetime_text, with_datetime
 from sheetloom.functions.numbers import safe_double, safe_integer
 from sheetloom.functions.text import blank_to_null, strip, strip_to_null
@@ -33,9 +34,11 @@ def project_declared(rows: DataFrame, spec: DatasetSpec) -> DataFrame:
     """Declared columns as text, from ``cells`` and the ``at_*`` positions of the row's tab.
 
     Undeclared and dropped columns are never materialised; a declared column the tab lacks is
-    NULL.
+    NULL. Typed cells become text by the kind of their column.
     """
-    cells = [F.get("cells", F.col(f"at_{c}")).alias(c) for c in spec.business_columns]
+    typed = has_typed_cells(rows)
+    as_text = lambda kind: cell_text if kind == "text" else cell_number
+    cells = [as_text(kind)(F.get("cells", F.col(f"at_{c}")), typed).alias(c) for c, kind in spec.business]
     rest = [c for c in rows.columns if c != "cells" and not c.startswith("at_")]
     return rows.select(*cells, *rest)
 

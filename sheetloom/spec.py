@@ -26,6 +26,8 @@ RAW_SCHEMA = T.StructType(
         T.StructField("cells", T.ArrayType(T.StringType())),
     ]
 )
+# The same with cells that keep their type.
+TYPED_RAW_SCHEMA = T.StructType([*RAW_SCHEMA.fields[:-1], T.StructField("cells", T.ArrayType(T.VariantType()))])
 
 
 @dataclass(frozen=True)

@@ -6,24 +6,12 @@ import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sheetloom.operators.lookup import DEFAULT_LIMITS, LookupLimits, lookup_join
-from sheetloom.plans.loads import load
-from sheetloom.session import stage, staged_size
-from sheetloom.sources.landed import read_raw
+from sheetloom.operators.lookup import DEFAULT_LIMITS, LookupLimits
+from sheetloom.plans.loads import load_batch
+from sheetloom.sources.landed import landing_schema
 from sheetloom.spec import RAW_SCHEMA, DatasetSpec
 
 
-def _rows_of(landed: DataFrame, changed: DataFrame, limits: LookupLimits) -> DataFrame:
-    """Landed rows of the changed workbooks.
-
-    The workbook is the landing's partition column. The filter on the ids, which keeps all of them, makes Spark
-    prune the folders by the join, whatever the number of workbooks.
-    """
-    named = changed.where(F.length("source_spreadsheet") > 0)
-    joined = lookup_join(landed, named, ["source_spreadsheet"], limits=limits)
-    return joined.select(*landed.columns)
-
-
 def load_available(
     spark: SparkSession,
     landing: str,
@@ -32,29 +20,29 @@ def load_available(
     stream_checkpoint: str,
     ingested_at: datetime.datetime | str | None = None,
     limits: LookupLimits = DEFAULT_LIMITS,
+    typed: bool = False,
 ) -> None:
     """Load everything landed since the last call, then stop.
 
-    The stream only reports files it has not seen; a call with none does nothing. The batch names
-    the workbooks that changed, and those are loaded from the landing folder, whose workbook
-    folders are pruned to them. Rows already in the target are held back by its checkpoint, so a
-    batch that is repeated after a failure changes nothing.
+    The stream reports files it has not seen; a call with none does nothing. Each batch is merged from its own rows. What
+    has to be known of earlier ones, the header of each tab, the rows read and the blocks where rows wait for a header, is
+    published with every version of the target, so it changes together with the data: a batch that is repeated after a
+    failure finds its rows read and changes nothing. ``typed``: the landing's cells are variants.
     """
 
-    def load_batch(batch: DataFrame, _: int) -> None:
-        changed = stage(batch.select("source_spreadsheet").distinct(), "changed_workbooks", measured=True)
-        if staged_size(changed).rows == 0:
-            return
-        rows = _rows_of(read_raw(batch.sparkSession, landing), changed, limits)
-        load(rows, spec, target, ingested_at, limits)
+    def one_batch(batch: DataFrame, _: int) -> None:
+        if not batch.isEmpty():
+            load_batch(batch, landing, spec, target, ingested_at, limits)
 
+    landed = F.unix_micros("_metadata.file_modification_time").alias("landed_seq")
     stream = (
-        spark.readStream.schema(RAW_SCHEMA)
+        spark.readStream.schema(landing_schema(typed))
         .parquet(landing)
+        .select(*RAW_SCHEMA.fieldNames(), landed)
         .where(F.lower("source_sheet").contains(spec.tab_token))
     )
     query = (
-        stream.writeStream.foreachBatch(load_batch)
+        stream.writeStream.foreachBatch(one_batch)
         .option("checkpointLocation", stream_checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -1,7 +1,7 @@
 """Full and incremental loads, publishing, streaming."""
 
+import json
 import random
-import re
 from pathlib import Path
 
 import pytest
@@ -12,12 +12,11 @@ from sheetloom.operators.incremental import checkpoint, incremental_filter, shru
 from sheetloom.operators.lookup import LookupLimits
 from sheetloom.operators.quality import ValidationError, validate
 from sheetloom.operators.shape import conform_schema
-from sheetloom.operators.tabs import select_tabs_named, tab_headers
+from sheetloom.operators.tabs import select_tabs_named, tab_headers, with_workbook_title
 from sheetloom.plans import loads
 from sheetloom.session import scratch_path, stage, staged_size
 from sheetloom.sources import landed, target
 from sheetloom.spec import BUYERS, LEADS, RAW_SCHEMA
-from sheetloom.streaming import available_now
 from sheetloom.streaming.available_now import load_available
 
 HEAD = ["Name", "Email Address", "Mobile", "City", "Date", "Order Id"]
@@ -185,11 +184,11 @@ def test_failed_write_is_not_published(spark, tmp_path):
     assert not target.target_exists(spark, path)
     for _ in range(3):
         target.write_target(good, path, BUYERS)
-    assert target.target_info(spark, path)["version"] == 4
-    with pytest.raises(RuntimeError, match="another run"):
-        target._publish(spark, path, 4, {})
+    assert target.target_info(spark, path)["version"] == 3
+    with pytest.raises(target.PublishConflict, match="another run"):
+        target._publish(spark, path, 3, {})
     assert target.target_info(spark, path)["rows"] == good.count()
-    assert target.expire_versions(spark, path, keep=2) == [1, 2]
+    assert target.expire_versions(spark, path, keep=2) == [1]
     assert target.scan_target(spark, path, BUYERS).count() == good.count()
 
 
@@ -224,17 +223,6 @@ def test_stream_loads_only_what_landed(spark, tmp_path):
     assert ids(stored_rows(spark, path)) == ids(stored_rows(spark, str(tmp_path / "once")))
 
 
-def test_stream_reads_only_changed_workbooks(spark, tmp_path):
-    landing = str(tmp_path / "landing")
-    landed.write_raw(frame(spark, *(tab(w, "buyers", 0, made_rows(w, 3)) for w in range(4))), landing)
-    changed = stage(spark.createDataFrame([("wb1",), ("wb3",)], "source_spreadsheet string"), "changed", measured=True)
-    pruned = available_now._rows_of(landed.read_raw(spark, landing), changed, LookupLimits())
-    filters = re.search(r"PartitionFilters: \[(.*?)\]", pruned._jdf.queryExecution().executedPlan().toString())[1]
-    assert "source_spreadsheet" in filters and "dynamicpruning" in filters
-    spread = available_now._rows_of(landed.read_raw(spark, landing), changed, LookupLimits(rows=0, salts=3))
-    assert sorted(map(repr, pruned.collect())) == sorted(map(repr, spread.collect())) and pruned.count() == 8
-
-
 def test_relanded_header_does_not_double_rows(spark):
     rows = frame(spark, tab(0, "buyers", 0, [["Ann", "a@x"]]), tab(0, "buyers", 0, []))
     assert loads.declared_rows(rows, BUYERS).count() == 1
@@ -331,7 +319,10 @@ def test_a_load_leaves_no_scratch_and_few_versions(spark, tmp_path):
     for n, run in zip((5, 10, 15, 20, 30), RUNS):
         loads.load(frame(spark, whole[:n]), BUYERS, path, run)
     assert set(here.iterdir()) == before
-    assert sorted(p.name for p in Path(path).glob("v=*")) == ["v=3", "v=4", "v=5"]
+    assert sorted(p.name for p in Path(path, "_published").iterdir()) == ["3.json", "4.json", "5.json"]
+    kept = [json.loads(p.read_text()) for p in Path(path, "_published").iterdir()]
+    listed = {part["folder"] for info in kept for part in info["parts"] if part["rows"]}
+    assert {str(p.relative_to(path)) for p in Path(path).glob("v=*/data/bucket=*")} == listed
     assert ids(stored_rows(spark, path)) and target.target_info(spark, path)["version"] == 5
 
 
@@ -342,7 +333,56 @@ def test_unknown_tab_is_an_error(spark):
         select_tabs_named(rows, ["buyers a", "nope"])
 
 
+def test_tabs_follow_in_the_order_asked_for(spark):
+    rows = frame(spark, tab(0, "A", 0, [["x"]]), tab(0, "B", 1, [["x"]]), tab(0, "C", 2, [["x"]]))
+    asked = select_tabs_named(rows, ["c", " a", "C"])
+    assert {(r.source_sheet, r.tab_ord) for r in asked.collect()} == {("C", 0), ("A", 1)}
+
+
+def test_two_titles_of_a_workbook_are_an_error(spark):
+    rows = frame(spark, tab(0, "A", 0, [["x"]]))
+    titles = spark.createDataFrame([("wb0", "One"), ("wb0", "Two")], "source_spreadsheet string, title string")
+    with pytest.raises(ValueError, match="wb0"):
+        with_workbook_title(rows, titles)
+    assert {r.source_workbook for r in with_workbook_title(rows, titles.limit(1)).collect()} == {"One"}
+
+
+def test_the_last_answer_about_a_workbook_counts(spark, tmp_path):
+    path = str(tmp_path / "books")
+    for k, sheets in enumerate((["Old"], ["New", "Leads"])):
+        titles = ", ".join(f'{{"properties": {{"title": "{t}"}}}}' for t in sheets)
+        spark.createDataFrame([(f'{{"spreadsheetId": "id1", "properties": {{"title": "T{k}"}}, "sheets": [{titles}]}}',)], "value string").write.mode("append").text(path)
+    assert [(r.title, r.tabs) for r in landed.read_workbooks(spark, path).collect()] == [("T1", ["New", "Leads"])]
+
+
 def test_headers_are_cut_to_the_read_width(spark):
     rows = frame(spark, tab(0, "t", 0, [], head=[f"h{i}" for i in range(20)]))
     assert len(tab_headers(rows, BUYERS.read_width).first().headers) == 12
     assert len(tab_headers(rows).first().headers) == 20
+
+
+def test_typed_cells(spark, tmp_path):
+    """A check box, the same word as text, and numbers, from the answer to the target."""
+    values, books = str(tmp_path / "values"), str(tmp_path / "books")
+    lines = [
+        '["Name", "City", "Age", "Amount", "Mobile", true, 7]',
+        '["Ann", true, true, 41.0, 9876543210, 1, 2]',
+        '["Bob", "true", "true", "499", "0091"]',
+        '["Cy", 12.50, false, null, 41.0]',
+        "[]",
+    ]
+    answer = '{"spreadsheetId": "id1", "valueRanges": [{"range": "Leads!A1:L5", "values": [' + ", ".join(lines) + "]}]}"
+    spark.createDataFrame([(answer,)], "value string").write.text(values)
+    spark.createDataFrame([('{"spreadsheetId": "id1", "sheets": [{"properties": {"title": "Leads"}}]}',)], "value string").write.text(books)
+    spec = LEADS.with_workbooks("id1")
+    rows = landed.scan_dataset(spark, values, books, spec, typed=True)
+    assert tab_headers(rows).first().headers == ["name", "city", "age", "amount", "mobile", "true", "7"]
+    want = {("Ann", "True", 1, 41.0, "9876543210"), ("Bob", "true", None, 499.0, "0091"), ("Cy", "12.5", 0, None, "41")}
+    fields = lambda df: {(r.name, r.city, r.age, r.amount, r.mobile) for r in df.collect()}
+    assert fields(loads.prepare(rows, spec, RUNS[0])) == want
+    landing, path = str(tmp_path / "landing"), str(tmp_path / "target")
+    landed.write_raw(rows, landing)
+    assert loads.load_landing(spark, landing, spec, path, RUNS[0], typed=True) == 3
+    assert fields(target.scan_target(spark, path, spec)) == want
+    as_text = loads.prepare(landed.scan_dataset(spark, values, books, spec), spec, RUNS[0])
+    assert ("Bob", "true", 1, 499.0, "0091") in fields(as_text) and ("Ann", "true", 1, 41.0, "9876543210") in fields(as_text)
