@@ -79,7 +79,7 @@ def parse_tracker(rows: DataFrame, limits: LookupLimits = DEFAULT_LIMITS) -> Dat
     return records.where(client).drop("cells")
 
 
-def extra_columns(parsed: DataFrame, most: int = 1000) -> list[str]:
+def extra_columns(parsed: DataFrame, most: int = 10_000) -> list[str]:
     """Names of the other headers, in the order in which client rows first show them.
 
     Each becomes a column, so their number is bounded: more than ``most`` are an error, and :func:`build_clients` then
@@ -97,25 +97,30 @@ def extra_columns(parsed: DataFrame, most: int = 1000) -> list[str]:
     return names
 
 
-def bool_column_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per text column: does it hold tick words only, and at least one? One aggregate."""
-    filled = [F.trim(F.col(f"`{c}`")) != "" for c in columns]
-    ticks = [F.lower(F.trim(F.col(f"`{c}`"))).isin(*TICK_WORDS) for c in columns]
-    found = df.agg(
-        *(
-            (F.coalesce(F.bool_and(~f | t), F.lit(False)) & F.coalesce(F.bool_or(f), F.lit(False))).alias(f"c{i}")
-            for i, (f, t) in enumerate(zip(filled, ticks))
-        )
-    )
-    pairs = F.array(*(F.struct(F.lit(c).alias("name"), F.col(f"c{i}").alias("is_bool")) for i, c in enumerate(columns)))
-    return found.select(F.inline(pairs))
-
+def bool_column_report(clients: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Per text column: does it hold tick words only, and at least one?
 
-def infer_bool_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    ``clients`` are as :func:`clean_clients` returns them: other headers are entries of the map ``extras``, not columns. Every
+    row gives its filled entries by name, and a name's entries are aggregated, combined before the shuffle, so the plan
+    is the same for any number of headers.
+    """
+    held = set(clients.columns) - {"extras"}
+    own = [c for c in columns if c in held]
+    fixed = F.map_from_arrays(F.array(*map(F.lit, own)), F.array(*(F.col(c) for c in own)))
+    entries = F.map_entries(F.map_concat(F.map_filter("extras", lambda k, v: ~k.isin(own)), fixed))
+    filled = F.filter(entries, lambda e: F.trim(e["value"]) != "")
+    ticks = F.transform(filled, lambda e: F.struct(e["key"].alias("name"), F.lower(F.trim(e["value"])).isin(*TICK_WORDS).alias("tick")))
+    found = clients.select(F.inline(ticks)).groupBy("name").agg(F.bool_and("tick").alias("is_bool"))
+    asked = clients.sparkSession.createDataFrame([(c,) for c in columns], "name string")
+    return asked.join(found, "name", "left").select("name", F.coalesce("is_bool", F.lit(False)).alias("is_bool"))
+
+
+def infer_bool_columns(clients: DataFrame, columns: Sequence[str]) -> list[str]:
     """The text columns of :func:`bool_column_report` that are booleans."""
     if not columns:
         return []
-    return [r["name"] for r in bool_column_report(df, columns).where("is_bool").collect()]
+    found = {r["name"] for r in bool_column_report(clients, columns).where("is_bool").collect()}
+    return [c for c in columns if c in found]
 
 
 def clean_clients(parsed: DataFrame) -> DataFrame:
@@ -138,13 +143,6 @@ def text_columns(extras: Sequence[str]) -> list[str]:
     return [c for c in CORE_COLUMNS if c not in ACCESS_COLUMNS and c != "is_active"] + list(extras)
 
 
-def text_clients(parsed: DataFrame, extras: Sequence[str]) -> DataFrame:
-    """Clean clients with the other headers as text columns of their own."""
-    clients = clean_clients(parsed)
-    named = {c: F.coalesce(F.element_at("extras", F.lit(c)), F.lit("")) for c in extras}
-    return clients.withColumns(named) if named else clients
-
-
 def build_clients(parsed: DataFrame, extras: Sequence[str] | None = None) -> DataFrame:
     """The client table: core columns, other columns (``extras``, by default all of them), lineage.
 
@@ -152,10 +150,11 @@ def build_clients(parsed: DataFrame, extras: Sequence[str] | None = None) -> Dat
     which columns hold tick words only. ``parsed`` should be staged, or cheap to run again.
     """
     extras = extra_columns(parsed) if extras is None else list(extras)
-    clients = text_clients(parsed, extras)
-    ticks = infer_bool_columns(clients, text_columns(extras))
-    clients = clients.withColumns({c: to_bool(F.col(f"`{c}`")) for c in ticks}) if ticks else clients
-    return clients.select(*(F.col(f"`{c}`") for c in (*CORE_COLUMNS, *extras, *META_COLUMNS)))
+    clients = clean_clients(parsed)
+    ticks, held = set(infer_bool_columns(clients, text_columns(extras))), set(clients.columns)
+    value = lambda c: F.col(c) if c in held else F.coalesce(F.element_at("extras", F.lit(c)), F.lit(""))
+    typed = lambda c: (to_bool(value(c)) if c in ticks else value(c)).alias(c)
+    return clients.select(*(typed(c) for c in (*CORE_COLUMNS, *extras)), *META_COLUMNS)
 
 
 def tracker_clients(rows: DataFrame, limits: LookupLimits = DEFAULT_LIMITS) -> DataFrame:

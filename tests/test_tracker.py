@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sheetloom.operators import layout as lay
 from sheetloom.operators.lookup import LookupLimits
 from sheetloom.plans import tracker
+from sheetloom.session import stage
 
 SCHEMA = "source_workbook string, source_spreadsheet string, source_sheet string, workbook_ord int, tab_ord int, source_row long, cells array<string>"
 HEADERS = ["NAME", "Full Name", "E MAIL", "email", "Mail", "PH NO.", "Mobile", "COACH", "Status", "GOLD", "Gold", "Silver"]
@@ -175,12 +176,83 @@ def test_the_width_of_the_client_table_is_bounded(spark):
     head = ["NAME", "EMAIL", *(f"Head {k}" for k in range(1200))]
     parsed = tracker.parse_tracker(as_rows(spark, [("Tab0", 1, head), ("Tab0", 2, ["ann", "a@x", "0", "1"])]))
     with pytest.raises(ValueError, match="1200"):
-        tracker.build_clients(parsed)
+        tracker.extra_columns(parsed, most=1000)
     clients = tracker.build_clients(parsed, ["head_1"])
     assert clients.columns == [*tracker.CORE_COLUMNS, "head_1", *tracker.META_COLUMNS]
     assert clients.first().head_1 is True
 
 
+def test_five_thousand_headers(spark):
+    """In many blocks of a few headers each; the names and their types are found without a column for each."""
+    rows = []
+    for k in range(0, 5000, 10):
+        rows.append(("Tab0", 3 * k + 1, ["NAME", "EMAIL", *(f"Head {i}" for i in range(k, k + 10))]))
+        rows.append(("Tab0", 3 * k + 2, [f"n{k}", f"{k}@x", *("yes" if i % 2 else "text" for i in range(k, k + 10))]))
+    parsed = stage(tracker.parse_tracker(as_rows(spark, rows)), "parsed")
+    names = tracker.extra_columns(parsed)
+    assert names == [f"head_{i}" for i in range(5000)]
+    report = tracker.bool_column_report(tracker.clean_clients(parsed), tracker.text_columns(names))
+    assert {r.name for r in report.where("is_bool").collect()} == {f"head_{i}" for i in range(1, 5000, 2)}
+    clients = tracker.build_clients(parsed, names[:40])
+    row = clients.where("name = 'N20'").select("head_20", "head_21", "head_30").first()
+    assert tuple(row) == ("text", True, "")
+
+
+def test_a_hundred_thousand_headers_in_one_tab(spark):
+    """Every header moves one column; each layout inherits from all above it, across all blocks."""
+    n = 100_000
+    cells = F.array(F.lit("NAME"), F.lit("EMAIL"), *(F.when(F.col("id") % 6 == k, F.concat(F.lit("Head "), F.col("id").cast("string"))).otherwise("") for k in range(6)))
+    rows = spark.range(n).select(
+        F.lit("T").alias("source_workbook"), F.lit("trk").alias("source_spreadsheet"), F.lit("Tab0").alias("source_sheet"), F.lit(0).alias("workbook_ord"),
+        F.lit(0).alias("tab_ord"), (F.col("id") * 2 + 1).alias("source_row"), cells.alias("cells"),
+    )
+    control = stage(lay.control_rows(rows), "control")
+    layouts = lay.tab_layouts(control)
+    assert layouts.count() == n
+    at = lambda h: {e["at"]: e["name"] for e in layouts.where(F.col("source_row") == 2 * h + 1).first().layout}
+    for h in (0, 3, 6, 5_001, 99_999):
+        last = {k: max((i for i in range(max(0, h - 5), h + 1) if i % 6 == k), default=None) for k in range(6)}
+        assert at(h) == {0: "name", 1: "email"} | {k + 2: f"head_{i}" for k, i in last.items() if i is not None}
+    plan = layouts._jdf.queryExecution().toString()
+    assert "Python" not in plan
+
+
+def test_chained_layouts_are_those_of_one_walk(spark):
+    """Random headers in many blocks, with repeated names and moved columns, against a walk in row order."""
+    pick = random.Random(9)
+    heads = {r: [(p, pick.choice("abcdefgh")) for p in sorted(pick.sample(range(8), pick.randrange(1, 5)))] for r in pick.sample(range(1, 9_000), 400)}
+    shape = f"source_spreadsheet string, source_sheet string, source_row long, own {lay.LAYOUT_TYPE}, section string"
+    placed = spark.createDataFrame([("wb", "t", r, own, "S") for r, own in heads.items()], shape)
+    got = {r.source_row: [tuple(e) for e in r.layout] for r in lay.chain_layouts(placed).collect()}
+    want, above = {}, []
+    for r in sorted(heads):
+        own = heads[r]
+        kept, names = list(own), {n for _, n in own}
+        for p, name in above:
+            if p not in {q for q, _ in own} and name not in names:
+                kept.append((p, name))
+                names.add(name)
+        want[r] = above = kept
+    assert got == want
+
+
+def test_titles_that_depend_on_titles(spark):
+    """Each address above a header is a title or a client by the layout that the one before it leaves."""
+    rows, section, email = [], "MAIN", None
+    want = {}
+    for k in range(40):
+        r = 3 * k + 1
+        text, at = f"T{k}@X", k % 3
+        rows.append(("Tab0", r, ["", "", "", ""][:at] + [text]))
+        section = section if email == at else text.upper()
+        head = ["NAME", "EMAIL", "MAIL ID", section if k % 2 else "x"]
+        rows.append(("Tab0", r + 1, head))
+        email = 1
+        want[r + 1] = section
+    control = stage(lay.control_rows(as_rows(spark, rows)), "control")
+    assert {r.source_row: r.section for r in lay.tab_layouts(control).collect()} == want
+
+
 def test_no_clients(spark):
     clients = tracker.tracker_clients(as_rows(spark, [("Tab0", 1, ["JUST A TITLE"])]))
     assert clients.count() == 0 and clients.columns == [*tracker.CORE_COLUMNS, *tracker.META_COLUMNS]
