@@ -440,6 +440,19 @@ O["dedup_relanded_rows"] = with_(
 )
 O["incremental_late_header"] = with_(*two_load_ctes(BUYERS, "tab_ord = 1"), select=stored(BUYERS, "merged"))
 O["incremental_late_range"] = with_(*two_load_ctes(BUYERS, q.LATE_RANGE), select=stored(BUYERS, "merged"))
+O["rows_read"] = with_(
+    BUYERS_CTE,
+    f"b AS (SELECT source_spreadsheet, source_sheet, source_row AS r FROM buyers_raw WHERE source_row > 1 AND {BUYERS_TABS})",
+    "i AS (SELECT *, r - row_number() OVER (PARTITION BY source_spreadsheet, source_sheet ORDER BY r) AS island FROM b)",
+    select='SELECT source_spreadsheet, source_sheet, min(r) AS "first", max(r) AS "last" FROM i GROUP BY source_spreadsheet, source_sheet, island',
+)
+O["typed_cells"] = with_(
+    LEADS_CTE,
+    select=f"SELECT {ROW}, nullif(trim(cells[1]), '') AS name,"
+    " CASE source_row % 5 WHEN 0 THEN 'False' WHEN 1 THEN 'false' ELSE nullif(trim(cells[4]), '') END AS city,"
+    f" CASE source_row % 7 WHEN 0 THEN 1 WHEN 1 THEN NULL ELSE CASE WHEN ({number('cells[5]')}) % 1 = 0 THEN TRY_CAST({number('cells[5]')} AS BIGINT) END END AS age,"
+    f" {number('cells[7]')} AS amount, {text_of(stamp('cells[6]'))} AS registered FROM leads_raw WHERE source_row > 1 AND {LEADS_TABS}",
+)
 O["load_report"] = with_(
     BUYERS_CTE,
     select="SELECT source_spreadsheet, source_sheet, CAST(max(source_row) AS BIGINT) AS n_rows, CAST(NULL AS BIGINT) AS last_row,"
@@ -460,6 +473,6 @@ for _spec in (BUYERS, LEADS):
     O[f"prepare_{_spec.name}"] = with_(*prepared_ctes(_spec), select=stored(_spec, "prepared"))
     O[f"full_load_{_spec.name}"] = O[f"prepare_{_spec.name}"]
     O[f"incremental_{_spec.name}"] = with_(*two_load_ctes(_spec), select=stored(_spec, "merged"))
-    O[f"incremental_stream_{_spec.name}"] = O[f"incremental_{_spec.name}"]
+    O[f"incremental_stream_{_spec.name}"] = O[f"incremental_landing_{_spec.name}"] = O[f"incremental_{_spec.name}"]
 
 ORACLES = O

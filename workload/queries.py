@@ -115,6 +115,38 @@ def _(spark, sf):
     return rows.where(F.size("cells") > 0).select(*ROW, F.size("cells").alias("n_cells"), cells_text())
 
 
+def typed_answers(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """Leads landed with typed cells: ages and cities are now and then a check box, or the same word as text."""
+    rows = raw(spark, sf, "leads_raw")
+    row = F.col("source_row")
+
+    def typed(cell: Column, at: Column) -> Column:
+        number = (at >= 4) & cell.try_cast("bigint").isNotNull()
+        box = (row > 1) & (((at == 3) & (row % 5 == 0)) | ((at == 4) & (row % 7 == 0)))
+        word = (row > 1) & (((at == 3) & (row % 5 == 1)) | ((at == 4) & (row % 7 == 1)))
+        return (
+            F.when(box, (at == 4).cast("variant"))
+            .when(word, F.when(at == 4, "true").otherwise("false").cast("variant"))
+            .when(number, cell.try_cast("bigint").cast("variant"))
+            .otherwise(cell.cast("variant"))
+        )
+
+    place = F.concat(F.lit("'"), "source_sheet", F.lit("'!A"), row.cast("string"), F.lit(":L"), row.cast("string"))
+    ranges = F.array(F.struct(place.alias("range"), F.array(F.transform("cells", typed)).alias("values")))
+    values = scratch_path(spark, "typed_values")
+    rows.select(F.to_json(F.struct(F.col("source_spreadsheet").alias("spreadsheetId"), ranges.alias("valueRanges"))).alias("value")).write.text(values)
+    _, books = landed_tabs(spark, rows, "typed")
+    return values, books
+
+
+@query("typed_cells")
+def _(spark, sf):
+    values, books = typed_answers(spark, sf)
+    rows = landed.scan_dataset(spark, values, books, LEADS.with_workbooks("wb0", "wb1", "wb2"), typed=True)
+    clean = loads.clean(loads.declared_rows(rows, LEADS), LEADS, FIRST_RUN)
+    return clean.select(*ROW, "name", "city", "age", "amount", datetime_text(F.col("registration_date")).alias("registered"))
+
+
 def _filtered(spec):
     return lambda spark, sf: tabs.filter_tabs(raw_of(spark, sf, spec), spec).select(*ROW, cells_text())
 
@@ -540,7 +572,7 @@ def _(spark, sf):
 def _(spark, sf):
     parsed = stage(tracker.parse_tracker(raw(spark, sf, "tracker_raw")), "parsed")
     extras = tracker.extra_columns(parsed)
-    return tracker.bool_column_report(tracker.text_clients(parsed, extras), tracker.text_columns(extras))
+    return tracker.bool_column_report(tracker.clean_clients(parsed), tracker.text_columns(extras))
 
 
 @query("build_clients")
@@ -662,6 +694,22 @@ def _incremental(spec):
     return run
 
 
+def _landing(spec):
+    """Both halves landed one after the other; the second load reads what changed, a third finds nothing."""
+
+    def run(spark, sf):
+        path, landing = (scratch_path(spark, f"landing_{part}_{spec.name}") for part in ("target", "rows"))
+        rows = stage(raw_of(spark, sf, spec), "raw")
+        for part, at in ((first_half(rows), FIRST_RUN), (second_half(rows), SECOND_RUN)):
+            landed.write_raw(part, landing)
+            loads.load_landing(spark, landing, spec, path, at)
+        if loads.load_landing(spark, landing, spec, path, "2024-03-01 00:00:00") is not None:
+            raise AssertionError("a load without new rows must leave the target as it is")
+        return target.scan_target(spark, path, spec)
+
+    return run
+
+
 def _late(condition: str):
     """Two loads; the rows of ``condition`` land, or can be read, only with the second."""
 
@@ -685,6 +733,14 @@ QUERIES["incremental_late_header"] = _late("tab_ord = 1 and source_row = 1")
 QUERIES["incremental_late_range"] = _late(LATE_RANGE)
 
 
+@query("rows_read")
+def _(spark, sf):
+    """The runs of rows that a full load has read."""
+    path = scratch_path(spark, "marked")
+    loads.full_load(raw(spark, sf, "buyers_raw"), BUYERS, path, FIRST_RUN)
+    return target.scan_marks(spark, path)
+
+
 @query("load_report")
 def _(spark, sf):
     path = scratch_path(spark, "reported")
@@ -710,6 +766,7 @@ for _spec in (BUYERS, LEADS):
     QUERIES[f"prepare_{_spec.name}"] = _prepared(_spec)
     QUERIES[f"full_load_{_spec.name}"] = _full_load(_spec)
     QUERIES[f"incremental_{_spec.name}"] = _incremental(_spec)
+    QUERIES[f"incremental_landing_{_spec.name}"] = _landing(_spec)
     QUERIES[f"incremental_stream_{_spec.name}"] = _stream(_spec)
 
 
