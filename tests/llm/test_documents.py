@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sheetloom.llm import packing
+from sheetloom.llm import decontaminate as decontaminate_module, packing
 from sheetloom.llm.common import WordHashes, components, word_chunks, words
 from sheetloom.llm.decontaminate import canonical, decontaminate, find_contamination
 from sheetloom.llm.language import fit_languages, gram_counts, identify
@@ -381,3 +381,17 @@ def test_token_hash_is_that_of_spark(spark):
 
 def test_contexts():
     assert contexts(np.array([4, 5, 6, 0])).tolist() == [[0, 0, 0], [4, 0, 0], [5, 4, 0], [6, 5, 4]]
+
+
+def test_texts_read_together_hold_what_they_hold_alone():
+    """Groups of texts, with windows that would only exist across two of them, short and empty ones."""
+    rng = random.Random(8)
+    words_ = "alpha beta 12 Paris km gamma delta 7 x".split()
+    make = lambda n: " ".join(rng.choice(words_) for _ in range(n))
+    items = [(k, make(rng.randrange(1, 14))) for k in range(30)]
+    texts = [make(rng.randrange(0, 20)) for _ in range(300)] + [None, "", "--", items[3][1], items[4][1].upper()]
+    index = decontaminate_module.build_index(items, 5)
+    alone = [decontaminate_module.find_items(index, decontaminate_module.Templates(), t, 5, 80) for t in texts]
+    together = list(decontaminate_module.find_in_texts(index, decontaminate_module.Templates(), texts, 5, 80))
+    assert together == alone and any(alone)
+    assert [g for g in decontaminate_module.text_groups(["ab", None, "abc", "d"], most=3)] == [slice(0, 3), slice(3, 4)]
