@@ -1,7 +1,7 @@
 """Spreadsheet intake on Spark: ragged tabs in, clean deduplicated tables out."""
 
 from sheetloom.operators.lookup import LookupLimits
-from sheetloom.plans.loads import adopt_target, full_load, incremental_load, load, prepare
+from sheetloom.plans.loads import adopt_target, full_load, incremental_load, load, load_landing, prepare
 from sheetloom.plans.tracker import build_clients, parse_tracker, tracker_clients, write_clients
 from sheetloom.session import get_spark
 from sheetloom.sources.landed import read_raw, read_workbooks, scan_dataset, scan_tab_formatted, scan_tabs, tab_listing
@@ -21,6 +21,7 @@ __all__ = [
     "incremental_load",
     "load",
     "load_available",
+    "load_landing",
     "parse_tracker",
     "prepare",
     "read_raw",

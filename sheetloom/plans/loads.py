@@ -262,7 +262,8 @@ def load(
 
     What was staged on the way is deleted, and so are all but the newest ``keep_versions`` versions of the target: a
     reader of a version has until the third load after it. If another load publishes first, this one
-    starts again and merges onto its version.
+    starts again and merges onto its version; one that is overtaken by ``keep_versions`` others while it writes may lose its
+    files and fails, with the target as the others left it.
     """
     spark = rows.sparkSession
 
