@@ -178,12 +178,24 @@ class LogBilinear:
         return (self.r[before] * self.w).sum(axis=1)
 
     def log10(self, before: np.ndarray, targets: np.ndarray, batch: int = 4096) -> np.ndarray:
-        """Normalised log10 probabilities of ``targets`` after the classes ``before`` (n x 3)."""
+        """Normalised log10 probabilities of ``targets`` after the classes ``before`` (n x 3).
+
+        The largest score of a row is only taken off where the parameters allow scores so large that their exponentials would
+        not fit; the biases are one more column of the matrix product.
+        """
         out = np.empty(len(targets), np.float64)
+        weighted = [self.r * w for w in self.w]
+        reach = np.abs(self.b) + np.abs(self.q) @ sum(np.abs(t).max(axis=0) for t in weighted)
+        q = np.concatenate([self.q.T, self.b[None]])
+        h = np.ones((min(batch, len(targets)), len(q)), np.float32)
         for at in range(0, len(targets), batch):
-            scores = self.context(before[at : at + batch]) @ self.q.T + self.b
-            scores -= scores.max(axis=1, keepdims=True)
-            chosen = scores[np.arange(len(scores)), targets[at : at + batch]].copy()
+            classes = before[at : at + batch]
+            n = len(classes)
+            h[:n, :-1] = sum(t[classes[:, j]] for j, t in enumerate(weighted))
+            scores = h[:n] @ q
+            if not reach.max() < 60:
+                scores -= scores.max(axis=1, keepdims=True)
+            chosen = scores[np.arange(n), targets[at : at + batch]].copy()
             np.exp(scores, out=scores)
             out[at : at + batch] = (chosen - np.log(scores.sum(axis=1))) / math.log(10)
         return out
