@@ -247,29 +247,25 @@ def _bands(rows: list[tuple[int, int, int]], least: int) -> Iterator[tuple[int,
 
 def fit_model(
     candidates: DataFrame,
-    fit_rows: int = 20_000,
     rounds: int = 10,
     rate: float = 0.4,
     precision: float = 0.85,
     band_rows: int = 50,
     smooth: float = 1.0,
 ) -> SpanModel:
-    """Train and calibrate on at most about ``fit_rows`` candidates of each kind, chosen by a hash of document and place.
+    """Train on one half of all candidates, by a hash of document and place, and calibrate on the other.
 
     Candidates of equal features are one row with counts, so a boosting round aggregates a small table. Trees have two
     levels, the same feature on both sides of the second; the best pair of features by gain is taken, of equal gains the
     first. A kind without candidates in both halves is not trained, and none of it is added.
     """
     of_kind = candidates.where("NOT base").withColumn("key", F.xxhash64("doc_id", "text_hash", "start", "stop"))
-    counts = {r.kind: r["count"] for r in of_kind.groupBy("kind").count().collect()}  # at most four rows
     model, n_features = SpanModel(), len(FEATURES)
-    if not counts:
-        return model
-    shares = F.element_at(F.create_map(*(F.lit(v) for k, n in counts.items() for v in (k, min(1.0, fit_rows / n)))), F.col("kind"))
-    sample = of_kind.where(F.pmod("key", F.lit(1_000_003)) < shares * 1_000_003)
     half = (F.pmod(F.xxhash64("key"), F.lit(2)) == 0).alias("training")
-    cells = sample.groupBy("kind", half, "features").agg(F.count(F.lit(1)).alias("n"), F.count_if("passed").alias("hits"))
-    cells = stage(cells, "feature-cells")  # at most fit_rows of each kind, usually few hundred
+    cells = of_kind.groupBy("kind", half, "features").agg(F.count(F.lit(1)).alias("n"), F.count_if("passed").alias("hits"))
+    cells = stage(cells, "feature-cells")  # the features that occur together, usually few hundred rows
+    if not staged_size(cells).rows:
+        return model
     cells = cells.coalesce(1 + staged_size(cells).rows // 2000)
     training = cells.where("training")
     for r in training.groupBy("kind").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits")).collect():
@@ -342,7 +338,6 @@ def choose_spans(spans: DataFrame, model: SpanModel) -> DataFrame:
 def personal_data(
     docs: DataFrame,
     model: SpanModel | None = None,
-    fit_rows: int = 20_000,
     precision: float = 0.85,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -350,13 +345,13 @@ def personal_data(
     """``docs`` with the column ``spans``: array of (start, kind, stop, base, score) by start, then kind; kinds are numbers
     in :data:`KINDS`, positions code points, the end exclusive, and ``score`` is null for base spans.
 
-    Without a ``model`` one is trained on the documents themselves (:func:`fit_model`). A null or empty text has no
+    Without a ``model`` one is trained on all candidates of the documents themselves (:func:`fit_model`). A null or empty text has no
     spans. Rows with one id and one text get the same spans, as do rows with a null id; rows and all other columns stay as
     they are, except that an existing column ``spans`` is replaced. An empty table stays empty.
     """
     spans = stage(find_spans(docs, id_col, text_col), "spans")
     if model is None:
-        model = fit_model(spans, fit_rows, precision=precision)
+        model = fit_model(spans, precision=precision)
     chosen = stage(choose_spans(spans, model), "chosen").withColumnsRenamed({"doc_id": "__doc", "text_hash": "__hash", "spans": "__spans"})
     # the hash is taken before the join, so that the text only moves where it is asked for
     hashed = docs.drop("spans").withColumn("__text_hash", F.xxhash64(F.col(f"`{text_col}`")))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sheetloom.llm import divergence, lexical
 from sheetloom.llm.divergence import WordPointers, audit_sources
 from sheetloom.llm.lexical import search
-from sheetloom.llm.private_data import KINDS, SpanModel, fit_model, find_spans, personal_data, redacted, span_text
+from sheetloom.llm.private_data import KINDS, SpanModel, _lower_bound, fit_model, find_spans, personal_data, redacted, span_text
 from sheetloom.llm.queries import QUERIES
 
 SAMPLE = "/root/testdata/sf0.001"
@@ -140,6 +140,23 @@ def test_a_kind_without_evidence_adds_nothing(spark):
     assert not any(every for _, _, every in spans_of(personal_data(docs, model)))
 
 
+def test_the_trees_are_trained_and_calibrated_on_all_candidates(spark):
+    many = spark.range(50_000).select(
+        F.col("id").alias("doc_id"), F.lit(1).cast("long").alias("text_hash"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("start"),
+        F.lit(5).cast("long").alias("stop"), F.lit(False).alias("base"), F.array_repeat(F.expr("id % 2 = 0"), 24).alias("features"),
+        F.expr("id % 3 = 0 OR id % 2 = 0").alias("passed"),
+    )
+    training = F.pmod(F.xxhash64(F.xxhash64("doc_id", "text_hash", "start", "stop")), F.lit(2)) == 0
+    halves = {r.half: r for r in many.groupBy(training.alias("half")).agg(F.count("*").alias("n"), F.count_if("passed").alias("hits")).collect()}
+    (n, hits), (n2, hits2) = ((halves[half].n, halves[half].hits) for half in (True, False))
+    assert n + n2 == 50_000
+    share, bound = (hits + 1) / (n + 2), _lower_bound(hits2, n2)
+    for precision, found in ((bound - 1e-9, {True, False}), (bound + 1e-9, {True})):  # one band of the whole other half
+        model = fit_model(many, rounds=2, band_rows=n2, precision=precision)
+        assert model.priors == {"email": pytest.approx(math.log(share / (1 - share)), abs=1e-12)}
+        assert set(model.thresholds) == {("email", passing) for passing in found}
+
+
 def test_op11_uses_no_python_worker(spark):
     frame = QUERIES["op11_pii"](spark, SAMPLE)
     plan = frame._jdf.queryExecution().toString()
