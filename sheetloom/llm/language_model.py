@@ -3,7 +3,7 @@
 Every frequent word is a class of its own; all other words share classes by their last two bytes; the end of a text is a
 class. The model predicts the class of a token from the classes of the three tokens before it: the context vector is
 ``sum_j w[j] * r[c_j]``, the score of a class ``q . context + b``, and a softmax over all classes normalises
-it (batched matrix products). Within a shared class a word has its add-one share of the class, where
+it (batched products of tables, one for each place). Within a shared class a word has its add-one share of the class, where
 one more share stands for all words never seen. So the probabilities of all tokens add up to one.
 
 Training is data parallel: every partition runs stochastic gradient steps from the same start on its own texts, and the
@@ -20,6 +20,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -83,8 +84,7 @@ class Vocabulary:
 
     def places(self, tokens: list[bytes]) -> np.ndarray:
         """Places of the words, -1 for those not known."""
-        get = self.words.get
-        return np.fromiter((get(t, -1) for t in tokens), np.int64, len(tokens))
+        return np.fromiter(map(self.words.get, tokens, repeat(-1)), np.int64, len(tokens))
 
     def classes(self, tokens: list[bytes], places: np.ndarray) -> np.ndarray:
         found = self.class_of[places] if len(self.class_of) else np.zeros(len(places), np.int64)
@@ -174,52 +174,66 @@ class LogBilinear:
             at += x.size
         return LogBilinear(*parts)
 
-    def context(self, before: np.ndarray) -> np.ndarray:
-        return (self.r[before] * self.w).sum(axis=1)
+    def tables(self, most_classes: int = 1024) -> tuple[list[np.ndarray], list[np.ndarray]] | None:
+        """What each place of the context adds to the score of each class, and the exponentials of that; the biases belong to
+        the last place. None with more than ``most_classes``, or where products of the exponentials might not fit."""
+        if len(self.b) > most_classes:
+            return None
+        terms = [(self.r * w) @ self.q.T for w in self.w]
+        terms[-1] += self.b
+        return (terms, [np.exp(t) for t in terms]) if sum(np.abs(t).max() for t in terms) < 60 else None
 
-    def log10(self, before: np.ndarray, targets: np.ndarray, batch: int = 4096) -> np.ndarray:
+    def log10(self, before: np.ndarray, targets: np.ndarray, tables: tuple | None = None, batch: int = 1024) -> np.ndarray:
         """Normalised log10 probabilities of ``targets`` after the classes ``before`` (n x 3).
 
-        The largest score of a row is only taken off where the parameters allow scores so large that their exponentials would
-        not fit; the biases are one more column of the matrix product.
+        A score is the sum of a term for each place, so its exponential is a product out of :meth:`tables` (made here
+        unless given). Without these, scores come from a matrix product, less the largest of a row.
         """
         out = np.empty(len(targets), np.float64)
+        tables = tables or self.tables()
         weighted = [self.r * w for w in self.w]
-        reach = np.abs(self.b) + np.abs(self.q) @ sum(np.abs(t).max(axis=0) for t in weighted)
-        q = np.concatenate([self.q.T, self.b[None]])
-        h = np.ones((min(batch, len(targets)), len(q)), np.float32)
         for at in range(0, len(targets), batch):
-            classes = before[at : at + batch]
-            n = len(classes)
-            h[:n, :-1] = sum(t[classes[:, j]] for j, t in enumerate(weighted))
-            scores = h[:n] @ q
-            if not reach.max() < 60:
+            places, chosen = before[at : at + batch].T, targets[at : at + batch]
+            if tables:
+                score = sum(t[c, chosen] for t, c in zip(tables[0], places))
+                first, second, third = (t[c] for t, c in zip(tables[1], places))
+                total = np.log(np.einsum("nc,nc->n", np.multiply(first, second, out=first), third))
+            else:
+                scores = sum(t[c] for t, c in zip(weighted, places)) @ self.q.T + self.b
                 scores -= scores.max(axis=1, keepdims=True)
-            chosen = scores[np.arange(n), targets[at : at + batch]].copy()
-            np.exp(scores, out=scores)
-            out[at : at + batch] = (chosen - np.log(scores.sum(axis=1))) / math.log(10)
+                score = scores[np.arange(len(chosen)), chosen]
+                total = np.log(np.exp(scores).sum(axis=1))
+            out[at : at + batch] = (score - total) / math.log(10)
         return out
 
     def nce_step(self, before: np.ndarray, targets: np.ndarray, noise: np.ndarray, log_noise: np.ndarray, past: LogBilinear, rate: float) -> None:
         """One minibatch: each target against all ``noise`` classes; ``log_noise``: log(k * noise probability) by
         class; ``past``: sums of squared gradients, changed in place (AdaGrad)."""
-        h, vectors = self.context(before), self.q[noise]
-        sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-        true = sigmoid((h * self.q[targets]).sum(axis=1) + self.b[targets] - log_noise[targets]) - 1
-        false = sigmoid(h @ vectors.T + self.b[noise] - log_noise[noise])
-        to_h = true[:, None] * self.q[targets] + false @ vectors
+        from_r, from_q, vectors = self.r[before], self.q[targets], self.q[noise]
+        h = np.einsum("ncs,cs->ns", from_r, self.w)
+        true = _sigmoid(np.einsum("ns,ns->n", h, from_q) + self.b[targets] - log_noise[targets]) - 1
+        false = _sigmoid(h @ vectors.T + (self.b[noise] - log_noise[noise]))
+        to_h = true[:, None] * from_q + false @ vectors
         scale = np.float32(1 / len(targets))
         n, size = self.q.shape
         q = _summed(np.concatenate([targets, noise]), np.concatenate([true[:, None] * h, false.T @ h]), n)
         b = np.bincount(targets, true, n) + np.bincount(noise, false.sum(axis=0), n)
         r = _summed(before.ravel(), (to_h[:, None] * self.w).reshape(-1, size), n)
-        w = (to_h[:, None] * self.r[before]).sum(axis=0)
+        w = np.einsum("ns,ncs->cs", to_h, from_r)
         for mine, sums, gradient in ((self.r, past.r, r), (self.q, past.q, q), (self.w, past.w, w), (self.b, past.b, b)):
             gradient = gradient.astype(np.float32) * scale
             sums += gradient * gradient
             mine -= rate * gradient / (np.sqrt(sums) + np.float32(1e-6))
 
 
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-x)), in place."""
+    np.clip(x, -30, 30, out=x)
+    np.exp(np.negative(x, out=x), out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
 def _summed(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     size = rows.shape[1]
     flat = (index[:, None] * size + np.arange(size)).ravel()
@@ -300,7 +314,7 @@ _SCORED = pa.schema({
 })
 
 
-def _score(vocabulary: Vocabulary, model: LogBilinear, texts: list[str | None]) -> pa.RecordBatch:
+def _score(vocabulary: Vocabulary, model: LogBilinear, texts: list[str | None], tables: tuple | None = None) -> pa.RecordBatch:
     """Sums over known words for each text, and the hashes of the others. ``log_model`` lacks their log10(c + 1)."""
     out: dict[str, list] = {name: [] for name in _SCORED.names}
     log_count = np.log10(vocabulary.count_of + 1.0)
@@ -328,7 +342,7 @@ def _score(vocabulary: Vocabulary, model: LogBilinear, texts: list[str | None])
         out["log_counts"].append(counts + math.log10(vocabulary.n_texts + 1))
         out["log_model"].append(own - total[classes].sum())
         out["rare"].append(rare)
-    by_token = model.log10(np.concatenate(befores), np.concatenate(targets))
+    by_token = model.log10(np.concatenate(befores), np.concatenate(targets), tables)
     starts = np.concatenate([[0], np.cumsum(ends)[:-1]])
     out["log_model"] = (np.array(out["log_model"]) + np.add.reduceat(by_token, starts)).tolist()
     return pa.RecordBatch.from_pydict(out, schema=_SCORED)
@@ -351,10 +365,11 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text_
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary, model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = shared.value[1].tables()
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 part = batch.slice(start, 64)
-                found = _score(*shared.value, part.column(2).to_pylist())
+                found = _score(*shared.value, part.column(2).to_pylist(), tables)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *found.columns], ["doc_id", "held_out", *_SCORED.names])
 
     kind = docs.schema[id_col].dataType.simpleString()

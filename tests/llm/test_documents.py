@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -343,6 +344,42 @@ def test_words_beyond_the_known_ones_count_the_same(spark):
         assert a[:5] == b[:5] and math.isclose(a.base_score, b.base_score) and math.isclose(a.score, b.score, rel_tol=1e-6)
 
 
+def plain_softmax(model, before, targets):
+    """log10 probabilities by a softmax over the scores of 4,096 tokens at a time."""
+    out = []
+    for at in range(0, len(targets), 4096):
+        scores = (model.r[before[at : at + 4096]] * model.w).sum(axis=1) @ model.q.T + model.b
+        scores -= scores.max(axis=1, keepdims=True)
+        out.append((scores[np.arange(len(scores)), targets[at : at + 4096]] - np.log(np.exp(scores).sum(axis=1))) / math.log(10))
+    return np.concatenate(out)
+
+
+@pytest.mark.parametrize(("size", "classes"), [(1, 256), (8, 256), (200, 256), (1, 1100)])
+def test_the_softmax_of_tables_is_that_of_the_scores(size, classes):
+    rng = np.random.default_rng(3)
+    model = LogBilinear.start(rng.dirichlet(np.ones(classes)))
+    model = LogBilinear(model.r * size, model.q * size, model.w, model.b)
+    before, targets = rng.integers(0, classes, (3000, 3)), rng.integers(0, classes, 3000)
+    assert (model.tables() is None) == (size == 200 or classes > 1024)
+    found = model.log10(before, targets)
+    assert np.allclose(found, plain_softmax(model, before, targets), rtol=1e-5, atol=1e-5) and np.isfinite(found).all()
+    assert np.array_equal(found, model.log10(before, targets, model.tables())) and len(model.log10(before[:0], targets[:0])) == 0
+
+
+def test_the_softmax_costs_less_than_half_of_the_plain_one():
+    rng = np.random.default_rng(4)
+    model = LogBilinear.start(rng.dirichlet(np.ones(256)))
+    before, targets = rng.integers(0, 256, (100_000, 3)), rng.integers(0, 256, 100_000)
+
+    def seconds(run):
+        start = time.process_time()
+        run(before, targets)
+        return time.process_time() - start
+
+    fast = min(seconds(model.log10) for _ in range(3))
+    assert fast < 0.5 * min(seconds(lambda *x: plain_softmax(model, *x)) for _ in range(3))
+
+
 def test_probabilities_add_up_to_one(spark):
     docs = docs_frame(spark, [(k, t) for k, t in sample(spark).items() if k < 40])
     counts = count_words(docs)
