@@ -43,6 +43,7 @@ def merge_upsert(
     existing_unique: bool = False,
     new_unique: bool = False,
     limits: LookupLimits = DEFAULT_LIMITS,
+    by_key: bool = False,
 ) -> DataFrame:
     """``existing`` plus ``new``; where both hold a key the new row wins.
 
@@ -50,6 +51,8 @@ def merge_upsert(
     rows are known to hold each key once, as every table written by this package does; then they
     only lose the keys in ``new``, and when those are few enough to broadcast (measured) the
     existing table is not shuffled. Otherwise all rows go through keep-last.
+
+    With ``by_key`` the result is dealt to tasks by the key. Existing rows that were for losing keys are not dealt again.
     """
     columns = existing.columns
     if not existing_unique:
@@ -57,7 +60,9 @@ def merge_upsert(
     latest = new if new_unique else dedup_keep_last(new, key)
     ids = latest.select(key)
     size = staged_size(latest)
-    if fits_broadcast(ids if size is None or size.bytes is None else latest, limits):
-        ids = F.broadcast(ids)
-    kept = existing.join(ids, key, "left_anti").select(*columns)
-    return kept.unionByName(latest.select(*columns))
+    few = fits_broadcast(ids if size is None or size.bytes is None else latest, limits)
+    ids = F.broadcast(ids) if few else ids.hint("merge")
+    kept, latest = existing.join(ids, key, "left_anti").select(*columns), latest.select(*columns)
+    if not by_key:
+        return kept.unionByName(latest)
+    return kept.unionByName(latest).repartition(key) if few else kept.unionByName(latest.repartition(key))

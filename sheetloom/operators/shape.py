@@ -86,11 +86,11 @@ def number_columns(spec: DatasetSpec) -> dict[str, Column]:
     return whole | {c: safe_double(F.col(c)) for c in spec.of_kind("double")}
 
 
-def conform_schema(df: DataFrame, spec: DatasetSpec) -> DataFrame:
+def conform_schema(df: DataFrame, spec: DatasetSpec, stripped: bool = False) -> DataFrame:
     """Exactly the declared columns, in order, with the types of the stored target.
 
     Dates, still timestamps, become text; date text is decoded first so that any accepted
-    spelling is stored the same way.
+    spelling is stored the same way. ``stripped``: text columns have no white space at their ends, as after cleaning.
     """
     df = add_missing_columns(df, spec)
     dates = spec.of_kind("datetime") + ("ingested_at_utc",)
@@ -108,7 +108,7 @@ def conform_schema(df: DataFrame, spec: DatasetSpec) -> DataFrame:
         elif isinstance(types[field.name], T.StringType) and isinstance(field.dataType, T.DoubleType):
             c = safe_double(c)
         elif isinstance(field.dataType, T.StringType):
-            c = strip(c.cast("string"))
+            c = c if stripped and isinstance(types[field.name], T.StringType) else strip(c.cast("string"))
         return c.cast(field.dataType).alias(field.name)
 
     return df.select(*(stored(f) for f in spec.stored_schema))

@@ -159,7 +159,7 @@ def full_load(
         "blocks": _block_table(listing, _blocks_of(facts), _blocks_of(headless), None),
     }
     prepared = prepare(rows, spec, ingested_at, _normal_headers(headers), limits)
-    return write_target(prepared, path, spec, f"{spec.name} full load", tables)
+    return write_target(prepared, path, spec, f"{spec.name} full load", tables, stripped=True)
 
 
 def _increment(
@@ -199,7 +199,7 @@ def _increment(
     new = None
     if staged_size(unread).rows and not added.isEmpty():
         prepared = prepare(rows_in(filter_tabs(rows, spec), added, present, limits), spec, ingested_at, _normal_headers(headers), limits)
-        new = stage(conform_schema(prepared, spec), "new_rows", measured=True)
+        new = stage(conform_schema(prepared, spec, stripped=True), "new_rows", measured=True)
     if new is None or not staged_size(new).rows:
         if keep_waiting:
             waits = stage(waits, "waits")

@@ -7,8 +7,9 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 _TO_DELETE_AT_EXIT: set[str] = set()
 _STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
@@ -89,8 +90,17 @@ class StagedSize:
 
 
 def row_width(df: DataFrame) -> Column:
-    """Rough size of a row."""
-    return F.length(F.to_json(F.struct(*df.columns)))
+    """Rough size of a row, as text with the names of its columns. Only nested columns are written out for it."""
+
+    def width(field: T.StructField) -> Column:
+        c = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(c), F.lit(0))
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            return F.coalesce(F.length(F.to_json(F.struct(c))), F.lit(0))
+        return F.lit(8)
+
+    return reduce(Column.__add__, map(width, df.schema), F.lit(sum(len(c) + 6 for c in df.columns)).cast("long"))
 
 
 def stage(df: DataFrame, name: str, measured: bool = False) -> DataFrame:

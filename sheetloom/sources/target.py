@@ -243,17 +243,19 @@ def write_target(
     name: str = "table",
     tables: dict[str, DataFrame] | None = None,
     buckets: int | None = None,
+    stripped: bool = False,
 ) -> int:
     """Write ``df`` as a new version in the stored schema, validate it, and publish it. Ids must be unique.
 
     Validation reads one column of the files just written, so the plan behind ``df`` runs once. An
     empty or invalid version is never published. Returns the row count. ``buckets`` defaults to the number of
-    shuffle partitions: then rows that come from a keep-last are written without another shuffle.
+    shuffle partitions: then rows that come from a keep-last are written without another shuffle. ``stripped``: as for
+    :func:`~sheetloom.operators.shape.conform_schema`.
     """
     spark = df.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     none = [{"folder": None, "rows": 0}] * buckets
-    return _write_version(conform_schema(df, spec), path, spec, _base(spark, path), none, tables, name, {})
+    return _write_version(conform_schema(df, spec, stripped), path, spec, _base(spark, path), none, tables, name, {})
 
 
 def merge_target(
@@ -274,8 +276,8 @@ def merge_target(
     bucket = bucket_of(F.col("record_id"), len(parts)).alias(BUCKET)
     touched = sorted(r[BUCKET] for r in new.select(bucket).distinct().collect())  # at most one row per bucket
     existing = _scan(spark, path, info, spec, touched)
-    merged = merge_upsert(existing, new, existing_unique=bool(info.get("unique_ids")), new_unique=True, limits=limits)
-    return _write_version(merged.repartition("record_id"), path, spec, info, parts, tables, name, info["tables"])
+    merged = merge_upsert(existing, new, existing_unique=bool(info.get("unique_ids")), new_unique=True, limits=limits, by_key=True)
+    return _write_version(merged, path, spec, info, parts, tables, name, info["tables"])
 
 
 def publish_tables(spark: SparkSession, path: str, info: dict, tables: dict[str, DataFrame]) -> None:

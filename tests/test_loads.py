@@ -14,7 +14,7 @@ from sheetloom.operators.quality import ValidationError, validate
 from sheetloom.operators.shape import conform_schema
 from sheetloom.operators.tabs import select_tabs_named, tab_headers, with_workbook_title
 from sheetloom.plans import loads
-from sheetloom.session import scratch_path, stage, staged_size
+from sheetloom.session import row_width, scratch_path, stage, staged_size
 from sheetloom.sources import landed, target
 from sheetloom.spec import BUYERS, LEADS, RAW_SCHEMA
 from sheetloom.streaming.available_now import load_available
@@ -228,6 +228,19 @@ def test_relanded_header_does_not_double_rows(spark):
     assert loads.declared_rows(rows, BUYERS).count() == 1
 
 
+def test_what_a_merge_costs(spark, monkeypatch, tmp_path):
+    """Sizes of flat rows are not taken from JSON, and rows that lost ids are not dealt again."""
+    flat = spark.createDataFrame([(1, "abc", None), (2, None, 2.5)], "id long, t string, x double")
+    assert "to_json" not in str(row_width(flat)) and flat.agg(F.sum(row_width(flat))).first()[0] == 2 * (4 + 18 + 8 + 8) + 3
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    ids = lambda low, high: spark.range(low, high).selectExpr("string(id) AS record_id", f"'{low}' AS name")
+    for limits, dealt in ((LookupLimits(rows=0), False), (LookupLimits(), True)):
+        merged = merge_upsert(ids(0, 60), ids(40, 90), existing_unique=True, new_unique=True, limits=limits, by_key=True)
+        found = plan(merged)
+        assert (0 < found.find("Exchange hashpartitioning") < found.find("Union")) == dealt
+        assert sorted((int(r.record_id), r.name) for r in merged.collect()) == [(i, "0" if i < 40 else "40") for i in range(90)]
+
+
 def test_staged_sizes(spark):
     sizes = [staged_size(stage(d, "s", measured=True)) for d in (spark.range(5), spark.range(5).where("id < 0"))]
     assert [s.rows for s in sizes] == [5, 0] and sizes[0].bytes > 0 and sizes[1].bytes == 0
